@@ -201,7 +201,7 @@ CTES: dict[str, str] = {
     "items": "SELECT row_number() OVER (ORDER BY item_id) - 1 AS row_ord, text FROM benchmark",
     "item_tokens": _unnested("items", "row_ord"),
     "item_fixed": f"""
-        SELECT row_ord, row_ord // {EVAL_BATCH} AS batch_id, p,
+        SELECT g.row_ord, g.row_ord // {EVAL_BATCH} AS batch_id, p,
             CASE WHEN p = 0 THEN 2 WHEN p = least(n, {FIXED_LENGTH - 2}) + 1 THEN 3
                  WHEN p > least(n, {FIXED_LENGTH - 2}) THEN 0 ELSE coalesce(v.id, 1) END AS id,
             p <= least(n, {FIXED_LENGTH - 2}) + 1 AS is_real
