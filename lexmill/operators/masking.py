@@ -1,15 +1,26 @@
-"""Random masking as a function of (seed, epoch, row, position): the same draw on every retry."""
+"""Random masking as a function of (seed, epoch, row, position): the same draw on every retry.
+
+One md5 digest serves four neighbouring positions, 32 bits each; a chosen position draws what happens
+to it from a digest of its own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.columns import uniform_key
+from lexmill.functions.columns import hex_prefix, idiv, md5_key
 from lexmill.operators.vocab import MASK, SPECIALS
 
 IGNORE = -100
 STATIC_EPOCH = -1
+MASK_SHARE, RANDOM_SHARE = 0.8, 0.1
+LANES = 4
+
+
+def hex_limit(share: float) -> str:
+    """Eight hex digits with this share of all such digits below them. A share of 1 sorts after all."""
+    return "g" if share >= 1 else f"{round(share * (1 << 32)):08x}"
 
 
 def mask_rows(
@@ -25,36 +36,37 @@ def mask_rows(
 
     Each token that is not special is chosen with ``probability``. A chosen token becomes the mask id
     (80 %), any vocabulary id (10 %) or stays (10 %); its label is the original id. All other labels
-    are `IGNORE`. The second and third draw are made for chosen tokens only.
+    are `IGNORE`.
     """
-    limit = round(probability * 1_000_000)
-
-    def draw(pos: Column, *suffix: str) -> Column:
-        return uniform_key(seed, epoch, F.col(id_col), pos, *suffix)
-
-    def chosen(token: Column, pos: Column) -> Column:
-        return (token >= n_specials) & (draw(pos) % 1_000_000 < limit)
-
-    def corrupt(pair: Column, pos: Column) -> Column:
-        token, label = pair["token"], pair["label"]
-        action = draw(pos, "a") % 10
-        replaced = F.when(action < 8, F.lit(MASK)).when(
-            action == 8, (draw(pos, "r") % vocab_size).cast("int")
-        )
-        return F.when(label == IGNORE, token).otherwise(F.coalesce(replaced, token))
 
-    def label(token: Column, pos: Column) -> Column:
-        return F.struct(
-            token.alias("token"), F.when(chosen(token, pos), token).otherwise(F.lit(IGNORE)).alias("label")
+    def corrupted(token: Column, digest: Column) -> Column:
+        draw, other = F.substring(digest, 1, 8), hex_prefix(F.substring(digest, 9, 8), 8)
+        return (
+            F.when(draw < hex_limit(MASK_SHARE), F.lit(MASK))
+            .when(draw < hex_limit(MASK_SHARE + RANDOM_SHARE), (other % vocab_size).cast("int"))
+            .otherwise(token)
         )
 
-    labelled = chunks.withColumn("_pairs", F.transform("input_ids", label))
-    return labelled.withColumns(
-        {
-            "input_ids": F.transform("_pairs", corrupt),
-            "labels": F.transform("_pairs", lambda p: p["label"]),
-        }
-    ).drop("_pairs")
+    def pair(token: Column, label: Column) -> Column:
+        return F.struct(token.alias("token"), label.alias("label"))
+
+    def position(block: Column, token: Column, lane: Column) -> Column:
+        draw = F.substring(block["digest"], lane * 8 + 1, F.lit(8))
+        own = F.array(md5_key(block["digest"], lane))
+        changed = F.get(F.transform(own, lambda digest: pair(corrupted(token, digest), token)), F.lit(0))
+        chosen = (token >= n_specials) & (draw < hex_limit(probability))
+        return F.when(chosen, changed).otherwise(pair(token, F.lit(IGNORE)))
+
+    def lanes(block: Column) -> Column:
+        tokens = F.slice("input_ids", block["no"] * LANES + 1, LANES)
+        return F.transform(tokens, lambda token, lane: position(block, token, lane))
+
+    numbers = F.sequence(F.lit(0), idiv(F.size("input_ids") - 1, LANES).cast("int"))
+    blocks = F.transform(
+        numbers, lambda n: F.struct(n.alias("no"), md5_key(seed, epoch, F.col(id_col), n).alias("digest"))
+    )
+    paired = chunks.withColumn("_pairs", F.flatten(F.transform(blocks, lanes)))
+    return paired.withColumns({"input_ids": F.col("_pairs")["token"], "labels": F.col("_pairs")["label"]}).drop("_pairs")
 
 
 def mask_static(chunks: DataFrame, vocab_size: int, **options) -> DataFrame:

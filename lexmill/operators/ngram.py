@@ -169,19 +169,19 @@ def attach_nll(positions: DataFrame, nll: DataFrame, context: list[str]) -> Data
     is_hot = F.col("seen") * HOT_SHARE > total
     hot = F.broadcast(nll.filter(is_hot).drop("seen"))
     cold = nll.filter(~is_hot).drop("seen")
-    rest = positions.join(hot.drop("nll"), context, "left_anti").join(cold, context)
+    rest = positions.join(hot.drop("nll"), context, "left_anti").join(cold.hint("merge"), context)
     return positions.join(hot, context).unionByName(rest)
 
 
 def score_causal(rows: DataFrame, model: CausalModel, keys: list[str]) -> DataFrame:
     """(keys…, h, w, nll) for every predicted position; the first token of a row is not predicted."""
-    positions = causal_positions(rows, keys)
+    positions = materialize(causal_positions(rows, keys), "positions")
     return attach_nll(positions, causal_nll(positions, model), ["h", "w"])
 
 
 def score_masked(rows: DataFrame, model: MaskedModel, keys: list[str]) -> DataFrame:
     """(keys…, l, c, r, nll) for every position whose label is set."""
-    positions = masked_positions(rows, keys)
+    positions = materialize(masked_positions(rows, keys), "positions")
     return attach_nll(positions, masked_nll(positions, model), ["l", "c", "r"])
 
 

@@ -15,7 +15,7 @@ from lexmill.functions.columns import hex_prefix, idiv, md5_key
 from lexmill.functions.scratch import materialize
 
 FANOUT = 4096
-BUCKET_ROWS = 512
+BUCKET_ROWS = 128
 KEY_DIGITS = 5
 
 
@@ -55,7 +55,8 @@ def bucketed_rank(
     """Add ``out``, the dense rank from 0 by ``order`` within ``parts``.
 
     ``bucket`` must not decrease along ``order``. The rows move once, to the hash of their bucket;
-    the join with the totals reuses that placement. ``df`` is read twice, the first time for the
+    the join with the totals reuses that placement and order, so it is asked to be a merge join (for
+    a small input the optimizer would broadcast the rows instead and work in one task). ``df`` is read twice, the first time for the
     bucket only, so it should be a scan or a cheap derivation of one.
     """
     parts = parts or []
@@ -65,7 +66,7 @@ def bucketed_rank(
     place = F.row_number().over(W.partitionBy(*parts, "_bucket").orderBy(*order))
     return (
         keyed.withColumn("_place", place.cast("bigint"))
-        .join(bases, [*parts, "_bucket"])
+        .join(bases.hint("merge"), [*parts, "_bucket"])
         .withColumn(out, F.col("base") + F.col("_place") - 1)
         .drop("_bucket", "_place", "_n", "base")
     )

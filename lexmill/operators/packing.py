@@ -93,7 +93,7 @@ def pack_causal(tokens: DataFrame, end_id: int, length: int = 256) -> DataFrame:
     totals = totals.groupBy("_bucket").agg(F.sum("_m").alias("_total"))
     placed = (
         ended.withColumn("_inside", _running("_n", "_bucket"))
-        .join(exclusive_bases(totals, "_bucket", "_total"), "_bucket")
+        .join(exclusive_bases(totals, "_bucket", "_total").hint("merge"), "_bucket")
         .withColumn("_start", F.col("base") + F.col("_inside"))
     )
     keys = ["_bucket", "base", "_total"]

@@ -39,8 +39,7 @@ def split_exact(
     # At most 16^PREFIX_DIGITS rows.
     sizes = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
     upto = sizes.withColumn("upto", F.sum("n").over(W.orderBy("prefix").rowsBetween(W.unboundedPreceding, 0)))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    n_train, n_test = split_sizes_for(total, train_size, test_size)
+    n_train, n_test = split_sizes_for(df.count(), train_size, test_size)
     ranks = [n_test, n_test + n_train]
     holding = [(F.col("upto") >= r) & (F.col("upto") - F.col("n") < r) for r in ranks]
     ends = upto.filter(holding[0] | holding[1]).collect()  # one or two rows

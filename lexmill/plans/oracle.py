@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from lexmill.functions.columns import STRIP_CHARS
+from lexmill.operators.masking import hex_limit
 from lexmill.operators.vocab import CHAT_SPECIALS, CHAT_WORDS, SPECIALS, WORDS
 from lexmill.plans.queries import (
     CAUSAL_LENGTH,
@@ -21,13 +22,7 @@ from lexmill.plans.queries import (
     WORKERS,
 )
 
-B, C, P, E, SEED = (
-    OPTIONS.batch_size,
-    OPTIONS.chunk_size,
-    round(OPTIONS.mlm_probability * 1_000_000),
-    OPTIONS.num_train_epochs,
-    OPTIONS.random_seed,
-)
+B, C, E, SEED = OPTIONS.batch_size, OPTIONS.chunk_size, OPTIONS.num_train_epochs, OPTIONS.random_seed
 K = "0.1::DOUBLE"
 
 
@@ -35,10 +30,6 @@ def _special_rows(names: tuple[str, ...]) -> str:
     return ", ".join(f"('{n}', {i}::INT, 0::BIGINT)" for i, n in enumerate(names))
 
 
-def _key(*parts: str) -> str:
-    return f"('0x' || substr(md5({' || chr(58) || '.join(parts)}), 1, 8))::BIGINT"
-
-
 def _vocab(counts: str, size: int, specials: tuple[str, ...]) -> str:
     n = len(specials)
     return f"""
@@ -65,17 +56,15 @@ def _bracketed(tokens: str, rows: str, key: str, vocab: str = "vocab") -> str:
 
 def _masked(source: str, epoch: str, keep: str) -> str:
     """Position-level masking of rows with (chunk_id, p, id)."""
-    def key(*more: str) -> str:
-        return _key(f"'{SEED}'", epoch, "chunk_id", "p", *more)
-
+    block = f"md5('{SEED}:' || {epoch} || ':' || chunk_id || ':' || (p // 4))"
     return f"""
-        SELECT {keep}, chunk_id, p, label,
-            CASE WHEN label = -100 THEN id WHEN action < 8 THEN 4
-                 WHEN action = 8 THEN (r % (SELECT count(*) FROM vocab))::INT ELSE id END AS id
-        FROM (SELECT {keep}, chunk_id, p, id,
-                CASE WHEN id >= 5 AND {key()} % 1000000 < {P} THEN id ELSE -100 END AS label,
-                {key("'a'")} % 10 AS action, {key("'r'")} AS r
-              FROM {source})"""
+        SELECT {keep}, chunk_id, p, CASE WHEN chosen THEN id ELSE -100 END AS label,
+            CASE WHEN NOT chosen OR substr(own, 1, 8) >= '{hex_limit(0.9)}' THEN id
+                 WHEN substr(own, 1, 8) < '{hex_limit(0.8)}' THEN 4
+                 ELSE (('0x' || substr(own, 9, 8))::BIGINT % (SELECT count(*) FROM vocab))::INT END AS id
+        FROM (SELECT *, md5(digest || ':' || (p % 4)) AS own,
+                  id >= 5 AND substr(digest, (p % 4)::INT * 8 + 1, 8) < '{hex_limit(OPTIONS.mlm_probability)}' AS chosen
+              FROM (SELECT *, {block} AS digest FROM {source}))"""
 
 
 def _batch(rank: str, size: int) -> str:
