@@ -66,13 +66,16 @@ def causal_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.inline(zipped)).filter(F.col("h") != EDGE)
 
 
-def masked_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys…, l, c, r): every labelled position; neighbours come from the corrupted row."""
+def masked_positions(rows: DataFrame, keys: list[str], flag: str | None = None) -> DataFrame:
+    """(keys…, l, c, r): every labelled position; neighbours come from the corrupted row.
+
+    ``flag`` names a list column whose entry is added as ``flag``.
+    """
     ids = F.col("input_ids")
-    zipped = F.arrays_zip(
-        _shifted_right(ids).alias("l"), F.col("labels").alias("c"), _shifted_left(ids).alias("r")
-    )
-    return rows.select(*keys, F.inline(zipped)).filter(F.col("c") != IGNORE)
+    parts = [_shifted_right(ids).alias("l"), F.col("labels").alias("c"), _shifted_left(ids).alias("r")]
+    if flag:
+        parts.append(F.col(flag).alias("flag"))
+    return rows.select(*keys, F.inline(F.arrays_zip(*parts))).filter(F.col("c") != IGNORE)
 
 
 def _count(df: DataFrame, *keys: str) -> DataFrame:
@@ -90,15 +93,19 @@ def fit_causal(rows: DataFrame, vocab_size: int, k: float = 0.1) -> CausalModel:
 
 
 def fit_masked(rows: DataFrame, vocab_size: int, k: float = 0.1, **options) -> MaskedModel:
-    """Trigram counts in one pass over the clean rows; all other tables roll the trigram table up."""
+    """Trigram counts in one pass over the clean rows; all other tables roll the trigram table up.
+
+    The pair tables are written too: scoring reads them several times.
+    """
     clean = rows.withColumn("labels", F.col("input_ids"))
     both = materialize(_count(masked_positions(clean, []), "l", "c", "r"), "trigrams")
+    left = materialize(_roll_up(both, "l", "c"), "left_pairs")
     return MaskedModel(
         both=both,
-        sides=_roll_up(both, "l", "r"),
-        left=_roll_up(both, "l", "c"),
-        right=_roll_up(both, "c", "r"),
-        unigrams=_roll_up(both, "c"),
+        sides=materialize(_roll_up(both, "l", "r"), "side_pairs"),
+        left=left,
+        right=materialize(_roll_up(both, "c", "r"), "right_pairs"),
+        unigrams=_roll_up(left, "c"),
         vocab_size=vocab_size,
         k=k,
         **options,
@@ -185,12 +192,13 @@ def score_masked(rows: DataFrame, model: MaskedModel, keys: list[str]) -> DataFr
     return attach_nll(positions, masked_nll(positions, model), ["l", "c", "r"])
 
 
-def score_all_positions(rows: DataFrame, model: MaskedModel, keys: list[str], label_mode: str = "all") -> DataFrame:
-    """Every position is its own target. Mode ``all`` counts padding too, ``real`` leaves it out."""
-    if label_mode not in ("all", "real"):
-        raise ValueError("label_mode is 'all' or 'real'")
-    labels = F.col("input_ids")
-    if label_mode == "real":
-        pairs = F.arrays_zip(F.col("input_ids").alias("i"), F.col("attention_mask").alias("m"))
-        labels = F.transform(pairs, lambda p: F.when(p["m"] == 1, p["i"]).otherwise(F.lit(IGNORE)))
-    return score_masked(rows.withColumn("labels", labels), model, keys)
+def score_all_positions(rows: DataFrame, model: MaskedModel, keys: list[str]) -> DataFrame:
+    """(keys…, l, c, r, is_real, nll): every position is its own target, padding included.
+
+    ``is_real`` is false on padding. Keep all rows for the mode that counts padding, filter on it for
+    the mode that does not; either way the rows are scored once.
+    """
+    labelled = rows.withColumn("labels", F.col("input_ids"))
+    positions = materialize(masked_positions(labelled, keys, flag="attention_mask"), "positions")
+    scored = attach_nll(positions, masked_nll(positions, model), ["l", "c", "r"])
+    return scored.withColumn("is_real", F.col("flag") == 1).drop("flag")

@@ -139,16 +139,28 @@ def causal_flow(train: DataFrame, evaluation: DataFrame, o: CausalOptions = Caus
     }
 
 
+LABEL_MODES = ("all", "real")
+
+
 def inference_losses(
     lines: DataFrame,
     model: ngram.MaskedModel,
     words: DataFrame,
     batch_size: int = 16,
     length: int = 512,
-    label_mode: str = "all",
+    label_modes: tuple[str, ...] = ("all",),
 ) -> DataFrame:
-    """Batch losses of a saved model over (row_ord, text) lines, numbered densely."""
+    """(label_mode, batch_id, …) losses of a saved model over (row_ord, text) lines, numbered densely.
+
+    Mode ``all`` counts padding as targets, ``real`` leaves it out. The positions are scored once.
+    """
+    if not set(label_modes) <= set(LABEL_MODES):
+        raise ValueError(f"label modes are {LABEL_MODES}")
     rows = encode_fixed(lines, words, length).select("row_ord", "input_ids", "attention_mask")
     batches = materialize(batching.batch_sequential(rows, batch_size), "inference")
-    scored = ngram.score_all_positions(batches, model, ["batch_id"], label_mode)
-    return metrics.batch_losses(scored, batches)
+    scored = ngram.score_all_positions(batches, model, ["batch_id"])
+    modes = F.explode(F.array(*[F.lit(m) for m in label_modes]))
+    counted = (F.col("label_mode") == "all") | F.col("is_real")
+    return metrics.batch_losses(
+        scored.withColumn("label_mode", modes).filter(counted), batches.withColumn("label_mode", modes), ["label_mode"]
+    )

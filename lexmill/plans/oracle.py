@@ -235,7 +235,7 @@ def _with(body: str, recursive: str = "", **replace: str) -> str:
 
 
 def _joined(column: str, order: str, alias: str) -> str:
-    return f"string_agg({column}::VARCHAR, ' ' ORDER BY {order}) AS {alias}"
+    return f"list({column} ORDER BY {order})::VARCHAR AS {alias}"
 
 
 # Longest-match-first walk over distinct words, one piece per step.
@@ -304,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
             {_joined('1', 'pos', 'attention_mask')} FROM ids GROUP BY row_ord""")
     q["subword_encode"] = _with(
         """
-        SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY pos, n) AS input_ids FROM (
+        SELECT doc_id, list(id ORDER BY pos, n)::VARCHAR AS input_ids FROM (
             SELECT doc_id, pos, unnest(ids) AS id, generate_subscripts(ids, 1) AS n FROM doc_tokens JOIN word_ids USING (token)
             UNION ALL SELECT doc_id, 0, 2, 0 FROM docs
             UNION ALL SELECT doc_id, 1000000000, 3, 0 FROM docs)
@@ -313,19 +313,24 @@ def oracle_sql() -> dict[str, str]:
     )
     limit = FIXED_LENGTH - 2
     q["encode_fixed"] = _with(f"""
-        SELECT doc_id, '2' || coalesce(' ' || s, '') || ' 3' || repeat(' 0', {limit} - least(n, {limit})) AS input_ids,
-            '1 1' || repeat(' 1', least(n, {limit})) || repeat(' 0', {limit} - least(n, {limit})) AS attention_mask
-        FROM (SELECT d.doc_id, coalesce(max(pos), 0)::BIGINT AS n,
-                string_agg(coalesce(id, 1)::VARCHAR, ' ' ORDER BY pos) FILTER (pos <= {limit}) AS s
-              FROM documents d LEFT JOIN ({_unnested("documents", "doc_id")}) t USING (doc_id) LEFT JOIN vocab USING (token)
-              GROUP BY d.doc_id)""")
+        SELECT doc_id, list(CASE WHEN p = 0 THEN 2 WHEN p = used + 1 THEN 3 WHEN p > used THEN 0 ELSE coalesce(id, 1) END
+                ORDER BY p)::VARCHAR AS input_ids,
+            list(CASE WHEN p <= used + 1 THEN 1 ELSE 0 END ORDER BY p)::VARCHAR AS attention_mask
+        FROM (SELECT doc_id, least(coalesce(n, 0), {limit}) AS used, unnest(range({FIXED_LENGTH})) AS p FROM documents
+              LEFT JOIN (SELECT doc_id, max(pos) AS n FROM all_tokens GROUP BY doc_id) m USING (doc_id)) g
+        LEFT JOIN (SELECT doc_id, pos AS p, token FROM all_tokens) t USING (doc_id, p) LEFT JOIN vocab USING (token)
+        GROUP BY doc_id""",
+        all_tokens=_unnested("documents", "doc_id"),
+    )
     q["pad_to_longest"] = _with(
         f"""
-        SELECT batch_id, row_ord, pos_in_batch, s || repeat(' 0', longest - n) AS input_ids,
-            '1' || repeat(' 1', n - 1) || repeat(' 0', longest - n) AS attention_mask
-        FROM (SELECT *, max(n) OVER (PARTITION BY batch_id) AS longest FROM (
-            SELECT row_ord, {_batch('row_ord', EVAL_BATCH)}, count(*) AS n,
-                string_agg(id::VARCHAR, ' ' ORDER BY pos) AS s FROM turn_ids GROUP BY row_ord))""",
+        SELECT batch_id, row_ord, pos_in_batch, list(coalesce(id, 0) ORDER BY p)::VARCHAR AS input_ids,
+            list((p < n)::INT ORDER BY p)::VARCHAR AS attention_mask
+        FROM (SELECT *, unnest(range(longest)) AS p FROM (
+            SELECT *, max(n) OVER (PARTITION BY batch_id) AS longest FROM (
+                SELECT row_ord, {_batch('row_ord', EVAL_BATCH)}, count(*) AS n FROM turn_ids GROUP BY row_ord))) g
+        LEFT JOIN (SELECT row_ord, pos AS p, id FROM turn_ids) t USING (row_ord, p)
+        GROUP BY batch_id, row_ord, pos_in_batch""",
         turn_rows="SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_ord, text FROM conversations",
         turn_tokens=_unnested("turn_rows", "row_ord"),
         turn_ids=_bracketed("turn_tokens", "turn_rows", "row_ord"),

@@ -1,6 +1,6 @@
 """The registered queries: each runs one operator of the engine over the whole driver tables.
 
-Array results are joined to text and doubles rounded, so that they compare with SQL.
+Array results are cast to text and doubles rounded, so that they compare with SQL.
 """
 
 from __future__ import annotations
@@ -66,9 +66,8 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return sorted_ordinal(chat.turns_to_pairs(_turns(spark, sf)), ["conv_id", "turn"])
 
 
-def _text(ids: str | Column) -> Column:
-    column = F.col(ids) if isinstance(ids, str) else ids
-    return F.array_join(column.cast("array<string>"), " ")
+def _text(ids: str) -> Column:
+    return F.col(ids).cast("string")
 
 
 def _as_text(df: DataFrame, *columns: str) -> DataFrame:
@@ -302,11 +301,7 @@ def _inference_losses(spark: SparkSession, sf: str) -> DataFrame:
     chunks, words = _chunks(spark, sf)
     model = ngram.fit_masked(chunks, flows.vocab_width(words))
     lines = dense_ordinal(_table(spark, sf, "benchmark", "item_id", "text"), "item_id")
-    modes = [
-        flows.inference_losses(lines, model, words, EVAL_BATCH, FIXED_LENGTH, mode).withColumn("label_mode", F.lit(mode))
-        for mode in ("all", "real")
-    ]
-    return modes[0].unionByName(modes[1])
+    return flows.inference_losses(lines, model, words, EVAL_BATCH, FIXED_LENGTH, flows.LABEL_MODES)
 
 
 def all_position_score(spark: SparkSession, sf: str) -> DataFrame:
