@@ -14,7 +14,6 @@ from lexmill.operators.filters import csv_text_filter, drop_incomplete, text_lin
 from lexmill.operators.ordinal import file_ordinal
 
 HEAD_ROWS = 1000
-REPLACEMENT = "�"
 
 
 def _with_place(scan: DataFrame, *columns: Column) -> DataFrame:
@@ -23,15 +22,16 @@ def _with_place(scan: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-def _strict(text: Column, strict_utf8: bool) -> Column:
+def _decoded(text: Column, strict_utf8: bool) -> Column:
+    """Text with bytes that are not UTF-8 replaced by U+FFFD, or an error in strict mode."""
     if not strict_utf8:
-        return text
-    return F.when(text.contains(REPLACEMENT), F.raise_error(F.lit("text is not valid UTF-8"))).otherwise(text)
+        return F.make_valid_utf8(text)
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.raise_error(F.lit("text is not valid UTF-8")))
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], strict_utf8: bool = False) -> DataFrame:
     """One row per line; the line break may be LF, CR or CR LF."""
-    return _with_place(spark.read.text(path), _strict(F.col("value"), strict_utf8).alias("text"))
+    return _with_place(spark.read.text(path), _decoded(F.col("value"), strict_utf8).alias("text"))
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], columns: dict[str, str], multi_line: bool = True) -> DataFrame:
