@@ -26,10 +26,11 @@ def _before(window: W) -> W:
 def exclusive_bases(totals: DataFrame, bucket: str, total: str, parts: list[str] | None = None) -> DataFrame:
     """(parts…, bucket, total, base) with ``base`` = sum of ``total`` over all smaller buckets.
 
-    ``totals`` has one row per (parts…, bucket).
+    ``totals`` has one row per (parts…, bucket). It is written first, because it is read twice and
+    behind it may be a scan of the whole text.
     """
     parts = parts or []
-    totals = totals.withColumn("_super", idiv(F.col(bucket), FANOUT))
+    totals = materialize(totals, "totals").withColumn("_super", idiv(F.col(bucket), FANOUT))
     supers = (
         totals.groupBy(*parts, "_super")
         .agg(F.sum(total).alias("_sum"))

@@ -42,9 +42,11 @@ def _cut(placed: DataFrame, keys: list[str], columns: list[str], length: int) ->
 
 def _assemble(pieces: DataFrame, keys: list[str], columns: list[str], length: int) -> DataFrame:
     """Put the pieces of each chunk in order; a chunk that is not full is the dropped tail."""
-    group = pieces.groupBy(*keys, "chunk_no").agg(F.array_sort(F.collect_list(F.struct("lo", *columns))).alias("_p"))
+    group = pieces.groupBy(*keys, "chunk_no").agg(
+        F.array_sort(F.collect_list(F.struct("lo", *columns))).alias("_p"), F.sum(F.size(columns[0])).alias("_len")
+    )
     joined = [F.flatten(F.col("_p")[col]).alias(col) for col in columns]
-    return group.select(*keys, "chunk_no", *joined).filter(F.size(columns[0]) == length)
+    return group.filter(F.col("_len") == length).select(*keys, "chunk_no", *joined)
 
 
 def _with_labels(chunks: DataFrame) -> DataFrame:

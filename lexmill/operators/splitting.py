@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -68,19 +68,20 @@ def split_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def train_eval_overlap(df: DataFrame, text: str = "text") -> DataFrame:
+def text_digest(text: str = "text") -> Column:
+    return F.sha2(F.col(text), 256)
+
+
+def train_eval_overlap(df: DataFrame, digest: str = "digest") -> DataFrame:
     """Evaluation rows whose text also occurs in train: counts and ratio.
 
-    Both sides are reduced to distinct texts (by hash, with counts) before they meet, so any number
-    of copies of one text is one row of the join.
+    ``df`` has ``split`` and the :func:`text_digest` of each row. Both sides are reduced to distinct
+    texts with counts in one grouping, so any number of copies of one text is one row, and the texts
+    themselves are not moved.
     """
-    sums = (
-        df.select(F.sha2(F.col(text), 256).alias("digest"), "split")
-        .groupBy("digest")
-        .agg(
-            F.count_if(F.col("split") == "test").alias("n_test"),
-            F.count_if(F.col("split") == "train").alias("n_train"),
-        )
+    sums = df.groupBy(digest).agg(
+        F.count_if(F.col("split") == "test").alias("n_test"),
+        F.count_if(F.col("split") == "train").alias("n_train"),
     )
     n_eval = F.coalesce(F.sum("n_test"), F.lit(0))
     n_overlap = F.coalesce(F.sum(F.when(F.col("n_train") > 0, F.col("n_test"))), F.lit(0))

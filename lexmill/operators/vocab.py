@@ -33,12 +33,13 @@ def token_counts(corpus: DataFrame, text: str = "text", pattern: str = WORDS) ->
 
 
 def most_frequent(counts: DataFrame, size: int) -> DataFrame:
-    """The ``size`` most frequent rows of (token, freq), ties by token.
+    """The ``size`` most frequent rows of (token, freq), ties by token. The counts are written first.
 
     A table of how many tokens have each frequency gives the lowest frequency that can still get in.
     Only rows at or above it are sorted, so the final sort sees about ``size`` rows and not ``size``
     rows per task.
     """
+    counts = materialize(counts, "counts")
     tally = counts.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
     from_top = F.sum("n").over(W.orderBy(F.desc("freq")).rowsBetween(W.unboundedPreceding, 0))
     cut = tally.withColumn("_cum", from_top).filter(F.col("_cum") >= size).agg(F.max("freq").alias("cut"))
@@ -68,8 +69,8 @@ def build_vocab(
     if not len(specials) < max_size <= MAX_ENTRIES:
         raise ValueError(f"max_size must be above {len(specials)} and at most {MAX_ENTRIES}")
     counts = token_counts(corpus, text, pattern).filter(~F.col("token").isin(*specials))
-    counts = materialize(counts.filter(F.col("freq") >= min_freq), "token_counts")
-    return number_tokens(most_frequent(counts, max_size - len(specials)), specials)
+    kept = counts.filter(F.col("freq") >= min_freq)
+    return number_tokens(most_frequent(kept, max_size - len(specials)), specials)
 
 
 def piece_counts(words: DataFrame, max_piece: int = 4, max_word: int = 100) -> DataFrame:

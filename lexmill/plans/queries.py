@@ -218,7 +218,8 @@ def split_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_eval_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    split = splitting.split_exact(_docs(spark, sf), OPTIONS.train_size, OPTIONS.test_size, id_col="doc_id")
+    digests = materialize(_docs(spark, sf).select("doc_id", splitting.text_digest().alias("digest")), "digests")
+    split = splitting.split_exact(digests, OPTIONS.train_size, OPTIONS.test_size, OPTIONS.random_seed, "doc_id")
     return _rounded(splitting.train_eval_overlap(split), "ratio")
 
 

@@ -46,7 +46,8 @@ def test_split_does_not_move_rows(spark):
 
 def test_overlap_counts_rows_not_texts(spark):
     rows = [("a", "train")] * 50 + [("a", "test")] * 3 + [("b", "test"), ("c", "train"), (None, "test")]
-    row = splitting.train_eval_overlap(spark.createDataFrame(rows, "text string, split string")).first()
+    df = spark.createDataFrame(rows, "text string, split string").withColumn("digest", splitting.text_digest())
+    row = splitting.train_eval_overlap(df).first()
     assert (row["n_eval"], row["n_overlap"], row["ratio"]) == (5, 3, 0.6)
 
 
