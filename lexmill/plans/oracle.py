@@ -209,6 +209,12 @@ CTES: dict[str, str] = {
     "item_losses": _losses("item_scored", "item_batches", "label_mode, batch_id"),
 }
 
+TURN_CTES = {
+    "turn_rows": "SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_ord, text FROM conversations",
+    "turn_tokens": _unnested("turn_rows", "row_ord"),
+    "turn_ids": _bracketed("turn_tokens", "turn_rows", "row_ord"),
+}
+
 # Models fitted on every chunk, not on the train side only.
 FITTED_ON_ALL = {"train_pos": "SELECT * FROM chunk_pos"}
 
@@ -331,9 +337,17 @@ def oracle_sql() -> dict[str, str]:
                 SELECT row_ord, {_batch('row_ord', EVAL_BATCH)}, count(*) AS n FROM turn_ids GROUP BY row_ord))) g
         LEFT JOIN (SELECT row_ord, pos AS p, id FROM turn_ids) t USING (row_ord, p)
         GROUP BY batch_id, row_ord, pos_in_batch""",
-        turn_rows="SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_ord, text FROM conversations",
-        turn_tokens=_unnested("turn_rows", "row_ord"),
-        turn_ids=_bracketed("turn_tokens", "turn_rows", "row_ord"),
+        **TURN_CTES,
+    )
+    q["map_windows"] = _with("""
+        SELECT min(row_ord) AS first_row, count(*) AS n_rows, sum(length(text))::BIGINT AS n_chars
+        FROM corpus GROUP BY row_ord // 1000""")
+    q["collate_batches"] = _with(
+        f"""
+        SELECT batch_id, count(*) AS n_rows, max(n) AS width, sum(s)::BIGINT AS id_sum FROM (
+            SELECT row_ord // {EVAL_BATCH} AS batch_id, count(*) AS n, sum(id) AS s FROM turn_ids GROUP BY row_ord)
+        GROUP BY batch_id""",
+        **TURN_CTES,
     )
     q["chunk_tokens"] = _with(f"""
         SELECT window_id, chunk_no, chunk_id, {_joined('id', 'p', 'input_ids')}, {_joined('0', 'p', 'token_type_ids')},

@@ -5,12 +5,14 @@ Array results are cast to text and doubles rounded, so that they compare with SQ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.scratch import materialize, scratch_path, spread
-from lexmill.operators import batching, chat, filters, masking, metrics, ngram, splitting, vocab
-from lexmill.operators.encode import encode, encode_fixed, encode_subword, model_inputs, pad_to_longest, with_masks
+from lexmill.operators import batching, chat, filters, masking, metrics, ngram, splitting, user, vocab
+from lexmill.operators.encode import encode, encode_fixed, encode_ids, encode_subword, model_inputs, pad_to_longest, with_masks
 from lexmill.operators.ordinal import dense_ordinal, sorted_ordinal
 from lexmill.operators.packing import chunk_tokens
 from lexmill.plans import flows
@@ -359,6 +361,44 @@ def chat_perplexity(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(result["perplexity"], "perplexity", 4)
 
 
+# -- user functions ----------------------------------------------------------------------------
+
+
+def map_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """A user function that turns each window of 1,000 documents into one row."""
+    def measure(window: pa.Table) -> pa.Table:
+        return pa.table(
+            {
+                "first_row": window["row_ord"].slice(0, 1),
+                "n_rows": [window.num_rows],
+                "n_chars": [pc.sum(pc.utf8_length(window["text"])).as_py()],
+            }
+        )
+
+    return user.map_windows(_corpus(spark, sf), measure, "first_row bigint, n_rows bigint, n_chars bigint")
+
+
+def collate_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A user function that pads each batch of encoded turns by itself and reports its shape."""
+    turns = sorted_ordinal(_turns(spark, sf), ["conv_id", "turn"]).select("row_ord", "text")
+    rows = encode_ids(turns, _words(spark, sf))
+
+    def shape(batch: pa.Table) -> pa.Table:
+        sizes = pc.list_value_length(batch["input_ids"])
+        total = pc.sum(pc.list_flatten(batch["input_ids"])).as_py()
+        return pa.table(
+            {
+                "batch_id": batch["batch_id"].slice(0, 1),
+                "n_rows": pa.array([batch.num_rows], pa.int64()),
+                "width": pa.array([pc.max(sizes).as_py()], pa.int64()),
+                "id_sum": pa.array([total], pa.int64()),
+            }
+        )
+
+    schema = "batch_id bigint, n_rows bigint, width bigint, id_sum bigint"
+    return user.collate_batches(batching.batch_sequential(rows, EVAL_BATCH), shape, schema)
+
+
 # -- sinks ------------------------------------------------------------------------------------
 
 
@@ -445,6 +485,8 @@ QUERIES = {
     "epoch_loss": epoch_loss,
     "phase_loss": phase_loss,
     "chat_perplexity": chat_perplexity,
+    "map_windows": map_windows,
+    "collate_batches": collate_batches,
     "model_roundtrip": model_roundtrip,
     "metrics_log": metrics_log,
     "flagship": flagship,

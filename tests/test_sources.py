@@ -98,7 +98,7 @@ def test_pair_splits(spark, tmp_path):
     write(tmp_path / "x_test.csv", pairs_csv(2, set()))
     got = readers.read_pair_splits(spark, train)
     assert {r["split"]: r["count"] for r in got.groupBy("split").count().collect()} == {"train": 3, "test": 2}
-    same = readers.read_pair_splits(spark, write(tmp_path / "6820.csv", pairs_csv(3, set())))
+    same = readers.read_pair_splits(spark, write(tmp_path / "pairs_all.csv", pairs_csv(3, set())))
     assert same.filter(F.col("split") == "test").count() == 3
     assert readers.sibling_eval_path("/train/train.csv") == "/test/test.csv"
     named = readers.read_pairs(spark, train, source="id", target="targets")
