@@ -36,6 +36,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application has written here; results that still read them become invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input of few splits; inputs with enough splits pass unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lexmill.functions import scratch
@@ -155,3 +156,10 @@ def test_scratch_folder_follows_the_session(spark):
     path = scratch.scratch_dir(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert path.startswith(root) if root else "lexmill-" in path
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    materialize(spark.range(3), "dropped")
+    scratch.drop_scratch(spark)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(scratch.scratch_dir(spark))
