@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, pack, token_count
+from lexmill.llm import decontaminate, html_text, pack, token_count, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,9 +22,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
+    "op5_warc_chunks": warc.archived_pages,
     "op6_token_counts": op6_token_counts,
+    "op8_html_main_text": html_text.page_texts,
     "op10_benchmark_decontamination": decontaminate.contamination,
 }
 
 #: SQL for those that it can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_warc_chunks": warc.ORACLE}
