@@ -158,6 +158,19 @@ def pretoken_table(documents: DataFrame, tokenizer: str, text: str = "text") ->
     return materialize(counted.mapInArrow(_piece_counts(tokenizer), "pre_token string, n long, n_pieces long"), "pretokens")
 
 
+def _most_frequent(table: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the most frequent rows, by a bound on the frequency instead of a sort."""
+    level = F.floor(F.log2("n") * 16)
+    levels = table.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).orderBy(F.desc("level")).collect()
+    above, least = 0, None
+    for r in levels:
+        above += r["rows"]
+        if above > most:
+            break
+        least = r["level"]
+    return table.where(level >= least) if least is not None else table.limit(0)
+
+
 def count_tokens(
     documents: DataFrame,
     tokenizer: str,
@@ -169,7 +182,7 @@ def count_tokens(
     """One row per document: ``doc_id, n_bytes, n_tokens, over_limit``."""
     spark = documents.sparkSession
     table = pretoken_table(documents, tokenizer, text)
-    top = table.orderBy(F.desc("n"), "pre_token").select("pre_token", "n_pieces").limit(head).toPandas()
+    top = _most_frequent(table, head).select("pre_token", "n_pieces").toPandas()
     shared = spark.sparkContext.broadcast((top["pre_token"].tolist(), top["n_pieces"].tolist()))
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     counted = materialize(
