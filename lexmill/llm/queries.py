@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, html_text, minhash, pack, quality, token_count, toxicity, warc
+from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, quality, token_count, toxicity, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.toxicity,
     "op2_quality_gam": quality.quality,
+    "op3_robust_pruned_graph": graph_ann.nearest,
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
     "op5_warc_chunks": warc.archived_pages,
     "op6_token_counts": op6_token_counts,
