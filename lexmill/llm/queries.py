@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, quality, token_count, toxicity, warc
+from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, passages, quality, token_count, toxicity, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
     "op5_warc_chunks": warc.archived_pages,
     "op6_token_counts": op6_token_counts,
+    "op7_collinear_passages": passages.repeated_passages,
     "op8_html_main_text": html_text.page_texts,
     "op9_bbit_minhash": minhash.near_duplicate_classes,
     "op10_benchmark_decontamination": decontaminate.contamination,
