@@ -95,9 +95,7 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scanner(shared, ident: int, window: int, n_blocks: int):
-    """Adds what one broadcast's blocks find to each row; a single block's automaton stays for the next task."""
-
+def _automaton_getter(shared, ident: int, window: int, n_blocks: int):
     def automaton_of(block: int) -> ahocorasick.Automaton:
         if n_blocks > 1:
             return build(shared.value[block], window)
@@ -106,6 +104,14 @@ def _scanner(shared, ident: int, window: int, n_blocks: int):
             _automata[ident] = build(shared.value[block], window)
         return _automata[ident]
 
+    return automaton_of
+
+
+def _scanner(shared, ident: int, window: int, n_blocks: int):
+    """Adds what one broadcast's blocks find to each row; a single block's automaton stays for the next task."""
+
+    automaton_of = _automaton_getter(shared, ident, window, n_blocks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
@@ -197,6 +203,42 @@ def find_windows(
     return found.withColumnRenamed("key", "doc_id")
 
 
+def _cleaner(shared, ident: int, window: int, n_blocks: int):
+    automaton_of = _automaton_getter(shared, ident, window, n_blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", SCAN_BYTES)):
+            texts = batch.column("text").cast(pa.binary())
+            clean = np.ones(batch.num_rows, bool)
+            for block in range(n_blocks):
+                automaton = automaton_of(block)
+                if len(automaton):
+                    for i in np.flatnonzero(clean):
+                        plain = normal(texts[i].as_py()).decode("latin-1")
+                        clean[i] = next(automaton.iter(plain), None) is None
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def keep_clean(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_windows: int = BLOCK_WINDOWS,
+) -> DataFrame:
+    """The rows of ``documents`` (text in ``text``), all columns, that hold no window of a test item."""
+    spark = documents.sparkSession
+    reach_package(spark)
+    clean = documents
+    for blocks in _groups(benchmark, item_id, item_text, window, block_windows):
+        shared = spark.sparkContext.broadcast(blocks)
+        clean = clean.mapInArrow(_cleaner(shared, uuid.uuid4().int, window, len(blocks)), documents.schema)
+    return clean
+
+
 def n_hit() -> Column:
     """Words inside any occurrence."""
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
