@@ -14,13 +14,15 @@ of links.
 3. Confirmation on the full sets: first each document with its best candidate; then, over the components found so far, all
    remaining candidates between different components.
 4. What the choice in step 2 can have missed: in buckets that still hold several components, documents outside
-   the bucket's largest component are compared, by packed bits, with those of other components whose set sizes allow a link,
-   and confirmed as before. In a dense group nearly all documents are in the largest component, so this is small.
+   the bucket's largest component are held against those of other components. Shingles that no other of these
+   documents has bound the similarity a document can reach with any other; what the bound, the set sizes and the packed
+   bits leave is confirmed as before. In a dense group nearly all documents are in the largest component, and those outside
+   are there because they have many words of their own, so this is small.
 
 A pair at the threshold shares no band with probability (1 - 0.8^4)^32, about 5e-8.
 
-Nothing is collected and no group is expanded into its pairs. Texts are shuffled only for documents that have a
-candidate, to get their sets.
+Nothing is collected and no group is expanded into its pairs. Texts are shuffled only to get the sets of documents that share
+a bucket, and not even then while the list of their ids is short.
 
 Defined cases: null and empty texts have an empty set, no links and are kept; rows with a null id are not linked, have a
 null component and are kept; rows that repeat an id count as one document, whose sets are all considered; other
@@ -46,6 +48,8 @@ HASHES = BANDS * ROWS
 BITS = 4
 WORDS64 = HASHES * BITS // 64
 SLACK = 0.19
+#: Ids, 8 bytes each, up to which a list of documents is broadcast.
+BROADCAST_IDS = 500_000
 _SLICE = 1 << 20
 
 _rng = np.random.default_rng(20240229)
@@ -132,9 +136,9 @@ def _set_maker(shingle: int):
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
                 keys, sizes = shingle_sets(part.column("text"), shingle)
-                ends = np.cumsum(sizes)
-                sets = [keys[e - n : e].tobytes() for n, e in zip(sizes, ends)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), as_lists(keys.view(np.int64), sizes, pa.int64())], names=["node", "shingles"]
+                )
 
     return run
 
@@ -145,8 +149,7 @@ def _confirmer(percent: int):
             keep = []
             left, right = batch.column("sa"), batch.column("sb")
             for i in range(batch.num_rows):
-                x = np.frombuffer(left[i].as_buffer(), np.uint64)
-                y = np.frombuffer(right[i].as_buffer(), np.uint64)
+                x, y = left[i].values.to_numpy(), right[i].values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -172,8 +175,8 @@ def estimate(left: str, right: str) -> Column:
 class _Links:
     """Candidates confirmed on full sets, and the components they make."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int):
-        self.docs, self.nodes, self.shingle, self.percent = docs, nodes, shingle, percent
+    def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
+        self.nodes, self.sets, self.percent = nodes, sets, percent
         self.edges: DataFrame | None = None
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
@@ -192,12 +195,8 @@ class _Links:
 
     def confirm(self, pairs: DataFrame) -> None:
         pairs = pairs.select("a", "b")
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = materialize(
-            self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(_set_maker(self.shingle), "node long, shingles binary"), "sets"
-        )
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
+        both = pairs.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
+            self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
         )
         linked = both.select("a", "b", "sa", "sb").mapInArrow(_confirmer(self.percent), "a long, b long")
         self.edges = materialize(linked if self.edges is None else linked.unionByName(self.edges), "links")
@@ -214,6 +213,14 @@ class _Links:
         return pairs.join(a, "a").join(b, "b").where("ca <> cb").select("a", "b")
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """Written shingle sets of the documents in ``wanted``; a list of ids of a checked size is broadcast, so that texts stay where
+    they are, and a longer one is joined by shuffle."""
+    few = wanted.count() <= BROADCAST_IDS
+    chosen = docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    return materialize(chosen.mapInArrow(_set_maker(shingle), "node long, shingles array<long>"), "sets")
+
+
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     reach_package(documents.sparkSession)
@@ -233,8 +240,6 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "bits"),
         "nodes",
     )
-    links = _Links(docs, nodes.select("node", "n", "bits"), shingle, percent)
-
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", "key")
     order = F.struct(F.xxhash64("node", "band").alias("o"), F.col("node").alias("node"))
     buckets = materialize(
@@ -243,6 +248,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         "buckets",
     )
     crowded = materialize(placed.join(buckets, ["band", "key"]), "crowded")
+    sets = _sets_of(docs, materialize(crowded.select(F.col("node").alias("doc_id")).distinct(), "crowded-ids"), shingle)
+    links = _Links(nodes.select("node", "n", "bits"), sets, percent)
     met = crowded.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     candidates = materialize(links.plausible(met), "candidates")
 
@@ -260,17 +267,30 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     # Sizes that differ by less than a class step are in the same or in neighbouring classes.
     level = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
     open_ = materialize(rated.join(mixed.select("band", "key", "main"), ["band", "key"]).withColumn("level", level), "open")
-    outside = open_.where("comp <> main").select(
-        "band", "key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"),
-        F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"), F.lit(True).alias("out_a"),
+    # A shingle that no other of these documents has is in no intersection, which bounds what a document can reach.
+    alone = (
+        sets.join(open_.select("node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node")).where("times = 1")
+        .groupBy("node").agg(F.count("*").alias("alone"))
+    )
+    bounded = materialize(
+        open_.join(alone, "node", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+        .where(F.col("most") * 100 >= F.col("n") * percent),
+        "bounded",
+    )
+    outside = bounded.where("comp <> main").select(
+        "band", "key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("bits").alias("ba"),
+        F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"),
     )
-    others = open_.select(
-        "band", "key", "level", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"),
+    others = bounded.select(
+        "band", "key", "level", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("bits").alias("bb"),
         (F.col("comp") != F.col("main")).alias("out_b"),
     )
+    shared = F.least("ma", "mb")
     rest = (
         outside.join(others, ["band", "key", "level"])
-        .where((F.col("ca") != F.col("cb")) & (~F.col("out_b") | (F.col("a") < F.col("b"))) & links._sizes_fit("na", "nb"))
+        .where((F.col("ca") != F.col("cb")) & (~F.col("out_b") | (F.col("a") < F.col("b"))))
+        .where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent)
         .where(estimate("ba", "bb") >= percent / 100 - SLACK)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()

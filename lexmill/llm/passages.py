@@ -346,10 +346,10 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS, similarity: float
     )
 
 
-def _remover(columns: list[str]):
+def _remover(columns: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, cuts = batch.column("text"), batch.column("cuts").to_pylist()
+            text, cuts = batch.column("text"), batch.column(name).to_pylist()
             new = []
             for i, spans in enumerate(cuts):
                 if not spans:
@@ -364,7 +364,7 @@ def _remover(columns: list[str]):
                     at = int(words.start[s["end_word"]]) if s["end_word"] < len(words.start) else len(raw)
                 new.append(b"".join([*kept, raw[at:]]).decode())
             out = batch.set_column(batch.schema.get_field_index("text"), pa.field("text", pa.string()), pa.array(new, pa.string()))
-            yield out.select([*columns, "cuts"])
+            yield out.select([*columns, name])
 
     return run
 
@@ -374,13 +374,16 @@ def remove_passages(documents: DataFrame, found: DataFrame) -> DataFrame:
     nothing but repeats is left out."""
     reach_package(documents.sparkSession)
     columns = documents.columns
-    cuts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("cuts"))
-    joined = documents.join(cuts, "doc_id", "left").select(*columns, "cuts")
-    cut = joined.mapInArrow(_remover(columns), joined.schema)
-    cut = cut.where(F.col("cuts").isNull() | (F.length(F.regexp_replace("text", r"[\x09-\x0D\x20]+", "")) > 0))
+    name = "cuts"
+    while name in map(str.lower, columns):
+        name += "_"
+    cuts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias(name))
+    joined = documents.join(cuts, "doc_id", "left").select(*columns, name)
+    cut = joined.mapInArrow(_remover(columns, name), joined.schema)
+    cut = cut.where(F.col(name).isNull() | (F.length(F.regexp_replace("text", r"[\x09-\x0D\x20]+", "")) > 0))
     if "n_chars" in columns:
         kind = documents.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        cut = cut.withColumn("n_chars", F.when(F.col(name).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
     return cut.select(*columns)
 
 

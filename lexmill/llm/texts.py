@@ -56,6 +56,8 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows and the rows' offsets in them; null rows are empty."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     if column.null_count:
         column = column.fill_null("")
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
