@@ -20,7 +20,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="lexmill-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="lexmill-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/lexmill-{app}"
 
 

@@ -66,11 +66,13 @@ def turns_to_pairs(turns: DataFrame) -> DataFrame:
 
 
 def chat_format_full(turns: DataFrame) -> DataFrame:
-    """(conv_id, part, text): all messages of a conversation in order.
+    """(conv_id, text): all messages of a conversation in order, one row whatever its length.
 
-    A conversation of up to `TURN_BLOCK` turns is one row with ``part`` 0; a longer one continues in
-    further parts, so no group grows without bound and no turn is lost.
+    Messages are first rendered in blocks of `TURN_BLOCK` turn numbers, so the turns of a very long conversation are
+    sorted and joined in many tasks; what meets in one row is a text per block.
     """
     blocks = turns.groupBy("conv_id", idiv(F.col("turn"), TURN_BLOCK).alias("part"))
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    return blocks.agg(render_messages(ordered).alias("text"))
+    parts = blocks.agg(render_messages(ordered).alias("text"))
+    whole = F.array_sort(F.collect_list(F.struct("part", "text")))
+    return parts.groupBy("conv_id").agg(F.array_join(F.transform(whole, lambda p: p["text"]), "").alias("text"))

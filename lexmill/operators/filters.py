@@ -29,9 +29,7 @@ def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.na.drop("any", subset=columns)
 
 
-def filter_audit(df: DataFrame, column: str = "text") -> DataFrame:
-    """Rows before and after the CSV text filter, in one pass."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_before"),
-        F.count_if(keeps_csv_text(F.col(column))).alias("n_after"),
-    )
+def filter_audit(df: DataFrame, column: str = "text", lines: bool = False) -> DataFrame:
+    """Rows before and after the CSV text filter, or with ``lines`` the text line filter, in one pass."""
+    kept = F.length(strip(F.col(column))) >= MIN_CHARS if lines else keeps_csv_text(F.col(column))
+    return df.agg(F.count(F.lit(1)).alias("n_before"), F.count_if(kept).alias("n_after"))

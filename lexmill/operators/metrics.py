@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lexmill.functions.columns import idiv
+
+BLOCK_FANOUT = 4096
+
 
 def batch_losses(scored: DataFrame, batches: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """(keys…, batch_id, n_rows, n_pred, loss): mean nll over the predicted tokens of each batch.
@@ -64,17 +68,28 @@ def validation_log(losses: DataFrame, step_counts: DataFrame, every: int = 200)
 def running_loss(losses: DataFrame, every: int = 100) -> DataFrame:
     """(epoch, batch_id, mean_loss) at every ``every``-th batch: mean over the epoch up to that batch.
 
-    Batches are first summed in blocks that end at the reported batches; only the block sums are
-    accumulated in order.
+    Batches are first summed in blocks that end at the reported batches, blocks in blocks of `BLOCK_FANOUT`; sums are
+    accumulated inside those and over them, so no task gets a whole epoch.
     """
     block = F.ceil(F.col("batch_id") / F.lit(every)).cast("bigint")
     blocks = losses.groupBy("epoch", block.alias("_block")).agg(
         F.sum("loss").alias("_loss"), F.count(F.lit(1)).alias("_n"), F.max("batch_id").alias("_last")
     )
-    upto = W.partitionBy("epoch").orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
-    mean = F.sum("_loss").over(upto) / F.sum("_n").over(upto)
+    blocks = blocks.withColumn("_group", idiv(F.col("_block"), BLOCK_FANOUT))
+    before = W.partitionBy("epoch").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
+    groups = blocks.groupBy("epoch", "_group").agg(F.sum("_loss").alias("_gl"), F.sum("_n").alias("_gn"))
+    bases = groups.select(
+        "epoch",
+        "_group",
+        F.coalesce(F.sum("_gl").over(before), F.lit(0.0)).alias("_base_loss"),
+        F.coalesce(F.sum("_gn").over(before), F.lit(0)).alias("_base_n"),
+    )
+    upto = W.partitionBy("epoch", "_group").orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
+    inside = blocks.withColumns({"_own_loss": F.sum("_loss").over(upto), "_own_n": F.sum("_n").over(upto)})
+    mean = (F.col("_base_loss") + F.col("_own_loss")) / (F.col("_base_n") + F.col("_own_n"))
     return (
-        blocks.withColumn("mean_loss", mean)
+        inside.join(bases, ["epoch", "_group"])
+        .withColumn("mean_loss", mean)
         .filter(F.col("_last") == F.col("_block") * every)
         .select("epoch", F.col("_last").alias("batch_id"), "mean_loss")
     )

@@ -281,6 +281,9 @@ def oracle_sql() -> dict[str, str]:
     q["text_line_filter"] = (
         f"SELECT doc_id, (line_no)::INT AS line_no, {stripped} AS text FROM ({lines}) WHERE length({stripped}) >= 5"
     )
+    q["filter_audit_lines"] = (
+        f"SELECT count(*) AS n_before, count(*) FILTER (length({stripped}) >= 5) AS n_after FROM ({lines})"
+    )
     q["filter_audit"] = f"SELECT count(*) AS n_before, count(*) FILTER ({KEEP}) AS n_after FROM documents"
     q["source_dispatch"] = _with(f"""
         SELECT row_ord, text, 'csv' AS source FROM corpus
@@ -294,16 +297,19 @@ def oracle_sql() -> dict[str, str]:
     q["pair_scan"] = _with("""
         SELECT row_number() OVER (PARTITION BY conv_id % 2 ORDER BY conv_id, turn) - 1 AS row_ord, inputs, targets,
             CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM pairs""")
+    q["pair_scan_head"] = _with("""
+        SELECT * FROM (SELECT row_number() OVER (PARTITION BY conv_id % 2 ORDER BY conv_id, turn) - 1 AS row_ord, inputs, targets,
+            CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM pairs) WHERE row_ord < 10""")
     q["pair_head_dropna"] = _with("""
         SELECT * FROM (SELECT conv_id, turn, text AS inputs, CASE WHEN next_role = 'assistant' THEN next_text END AS targets
-            FROM turns WHERE role = 'user' ORDER BY conv_id, turn LIMIT 1000)
+            FROM turns WHERE role = 'user' ORDER BY conv_id, turn LIMIT 25)
         WHERE inputs IS NOT NULL AND targets IS NOT NULL""")
     q["vocab_source"] = _with("SELECT token, id FROM vocab")
     q["chat_format_pairs"] = _with("SELECT conv_id, turn, text FROM chat")
     q["chat_format_full"] = """
-        SELECT conv_id, turn // 1024 AS part, string_agg(
+        SELECT conv_id, string_agg(
             '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text
-        FROM conversations GROUP BY conv_id, turn // 1024"""
+        FROM conversations GROUP BY conv_id"""
     q["vocab_build"] = _with("SELECT token, id, freq FROM vocab")
     q["encode"] = _with(f"""
         SELECT row_ord, {_joined('id', 'pos', 'input_ids')}, {_joined('0', 'pos', 'token_type_ids')},

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.scratch import materialize, scratch_path, spread
@@ -26,6 +26,9 @@ CAUSAL_LENGTH = 256
 FIXED_LENGTH = 512
 EVAL_BATCH = 16
 WORKERS = 4
+#: Below the number of user turns at every scale, so that the limit cuts.
+PAIR_HEAD = 25
+PAIR_FILE_HEAD = 10
 LINE_BREAK = r"\r\n|\r|\n"
 
 
@@ -87,17 +90,24 @@ def csv_text_filter(spark: SparkSession, sf: str) -> DataFrame:
     return _docs(spark, sf)
 
 
-def text_line_filter(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _table(spark, sf, "documents", "doc_id", "text").select(
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.posexplode(F.split("text", LINE_BREAK)).alias("line_no", "text")
     )
-    return filters.text_line_filter(lines)
+
+
+def text_line_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return filters.text_line_filter(_lines(spark, sf))
 
 
 def filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filters.filter_audit(_table(spark, sf, "documents", "text"))
 
 
+def filter_audit_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return filters.filter_audit(_lines(spark, sf), lines=True)
+
+
 def _written_in_order(df: DataFrame, order: str, path: str, writer: str, **options) -> str:
     """Write rows so that file order is the given order."""
     ordered = df.repartitionByRange(order).sortWithinPartitions(order)
@@ -124,13 +134,22 @@ def eval_text_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pair_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs of even and odd conversations as train and test CSV, read as one table, without a head limit."""
+    """Pairs of even and odd conversations as train and test CSV, read as one table."""
+    return readers.read_pair_splits(spark, f"{_written_pairs(spark, sf)}/train.csv")
+
+
+def pair_scan_head(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, but only the first pairs of each file in file order."""
+    return readers.read_pair_splits(spark, f"{_written_pairs(spark, sf)}/train.csv", head=PAIR_FILE_HEAD)
+
+
+def _written_pairs(spark: SparkSession, sf: str) -> str:
     pairs = _pairs(spark, sf)
     root = scratch_path(spark, "pairs")
     for side, parity in (("train", 0), ("test", 1)):
         rows = pairs.filter(F.col("conv_id") % 2 == parity).select("row_ord", "inputs", "targets")
         _written_in_order(rows, "row_ord", f"{root}/{side}.csv", "csv", header=True, quoteAll=True, escape='"')
-    return readers.read_pair_splits(spark, f"{root}/train.csv", head=None)
+    return root
 
 
 def pair_head_dropna(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +157,7 @@ def pair_head_dropna(spark: SparkSession, sf: str) -> DataFrame:
     answer = F.when(F.col("next_role") == "assistant", F.col("next_text"))
     asked = chat.next_turn(_turns(spark, sf)).filter(F.col("role") == "user")
     pairs = asked.select("conv_id", "turn", F.col("text").alias("inputs"), answer.alias("targets"))
-    head = pairs.orderBy("conv_id", "turn").limit(readers.HEAD_ROWS)
+    head = pairs.orderBy("conv_id", "turn").limit(PAIR_HEAD)
     return filters.drop_incomplete(head, ["inputs", "targets"])
 
 
@@ -430,7 +449,8 @@ def metrics_log(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).alias("epoch"), F.concat(F.lit("val_loss_"), F.col("batch_id")).alias("name"), F.col("loss").alias("value")
     )
     writers.log_metrics(values, path, "run")
-    return _rounded(writers.read_log(spark, path), "value").select("run_id", "kind", "epoch", "name", "value")
+    entries = writers.read_log(spark, path).filter("kind <> 'start'")
+    return _rounded(entries, "value").select("run_id", "kind", "epoch", "name", "value")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -450,9 +470,11 @@ QUERIES = {
     "csv_text_filter": csv_text_filter,
     "text_line_filter": text_line_filter,
     "filter_audit": filter_audit,
+    "filter_audit_lines": filter_audit_lines,
     "source_dispatch": source_dispatch,
     "eval_text_scan": eval_text_scan,
     "pair_scan": pair_scan,
+    "pair_scan_head": pair_scan_head,
     "pair_head_dropna": pair_head_dropna,
     "vocab_source": vocab_source,
     "chat_format_pairs": chat_format_pairs,

@@ -13,8 +13,6 @@ from lexmill.functions.lookup import MAX_ENTRIES
 from lexmill.operators.filters import csv_text_filter, drop_incomplete, text_line_filter
 from lexmill.operators.ordinal import file_ordinal
 
-HEAD_ROWS = 1000
-
 
 def _with_place(scan: DataFrame, *columns: Column) -> DataFrame:
     return scan.select(
@@ -61,6 +59,8 @@ def read_corpus(
             raise ValueError("a CSV file needs target_column")
         if spark.read.text(path).filter(F.length(F.trim("value")) > 0).isEmpty():
             raise ValueError(f"{path} is empty")
+        if strict_utf8 and not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
+            raise ValueError(f"{path} is not valid UTF-8")
         rows = csv_text_filter(scan_csv(spark, path, {target_column: "text"}, multi_line))
     elif extension == ".txt":
         rows = text_line_filter(scan_lines(spark, path, strict_utf8))
@@ -94,10 +94,10 @@ def read_pairs(
     path: str,
     source: str = "inputs",
     target: str = "targets",
-    head: int | None = HEAD_ROWS,
+    head: int | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """(row_ord, inputs, targets): the first ``head`` rows, and of those the complete ones."""
+    """(row_ord, inputs, targets): the complete rows, or those of the first ``head`` rows."""
     columns = {source: "inputs", target: "targets"}
     if head is None:
         rows = file_ordinal(scan_csv(spark, path, columns, multi_line))

@@ -53,7 +53,9 @@ def load_model(spark: SparkSession, path: str, epoch: int | None = None) -> tupl
 
 def start_run(spark: SparkSession, path: str, run_id: str, arguments: dict) -> None:
     """Empty the log of ``run_id`` and write its arguments as the first entries."""
-    rows = [(run_id, "argument", None, k, float(v) if _is_number(v) else None, str(v)) for k, v in arguments.items()]
+    # The start itself is an entry, so that a run without arguments empties the log too.
+    rows = [(run_id, "start", None, None, None, None)]
+    rows += [(run_id, "argument", None, k, float(v) if _is_number(v) else None, str(v)) for k, v in arguments.items()]
     _log_writer(spark.createDataFrame(rows, LOG_SCHEMA), "overwrite").parquet(path)
 
 

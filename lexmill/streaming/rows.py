@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from lexmill.functions.scratch import scratch_path
 from lexmill.operators.encode import encode_fixed
 from lexmill.operators.filters import text_line_filter
 
@@ -18,12 +17,12 @@ def encode_lines(lines: DataFrame, vocab: DataFrame, length: int = 512) -> DataF
     return encode_fixed(text_line_filter(lines), vocab, length)
 
 
-def write_rows(rows: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append what is available to Parquet files and stop; restarts continue where they ended."""
-    spark = rows.sparkSession
+def write_rows(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what is available to Parquet files and stop; with the same checkpoint a restart goes on where the last
+    call ended."""
     return (
         rows.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(path)

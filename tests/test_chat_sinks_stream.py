@@ -40,12 +40,19 @@ def test_pairs_follow_turn_order(spark, monkeypatch, block):
 def test_full_conversations_keep_every_turn(spark, monkeypatch, block):
     monkeypatch.setattr(chat, "TURN_BLOCK", block)
     made = turns()
-    got = chat.chat_format_full(spark.createDataFrame(made, TURN).repartition(7)).orderBy("conv_id", "part").collect()
+    got = chat.chat_format_full(spark.createDataFrame(made, TURN).repartition(7)).orderBy("conv_id").collect()
+    assert len(got) == len({m[0] for m in made})
     for conv in {m[0] for m in made}:
         want = "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for c, _, r, x in made if c == conv)
         assert "".join(g["text"] for g in got if g["conv_id"] == conv) == want
 
 
+def test_a_long_conversation_is_one_row(spark):
+    made = [(1, t, "user", f"t{t}") for t in range(3000)]
+    (row,) = chat.chat_format_full(spark.createDataFrame(made, TURN)).collect()
+    assert row["text"] == "".join(f"<|im_start|>user\nt{t}<|im_end|>\n" for t in range(3000))
+
+
 def test_pair_text(spark):
     df = spark.createDataFrame([("hi", "yo")], "q string, a string")
     text = chat.chat_format_pairs(df, "q", "a").first()["text"]
@@ -137,7 +144,9 @@ def test_run_log_is_emptied_at_start(spark, tmp_path):
         ("argument", "flag", None, "True"), ("argument", "model", None, "m"), ("argument", "seed", 42.0, "42"),
     ]
     assert sum(r["kind"] == "metric" for r in mine) == 2
-    assert len(got) - len(mine) == 1
+    assert len(got) - len(mine) == 2
+    writers.start_run(spark, path, "mine", {})
+    assert [r["kind"] for r in writers.read_log(spark, path).collect() if r["run_id"] == "mine"] == ["start"]
 
 
 def test_stream_gives_the_rows_of_the_batch_form(spark, tmp_path):
@@ -145,7 +154,7 @@ def test_stream_gives_the_rows_of_the_batch_form(spark, tmp_path):
     made = spark.createDataFrame([("  red blue ",), ("no",), ("one three two",)], "text string")
     made.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("text string").parquet(str(tmp_path / "in"))
-    query = stream_rows.write_rows(stream_rows.encode_lines(stream, words, 6), str(tmp_path / "out"))
+    query = stream_rows.write_rows(stream_rows.encode_lines(stream, words, 6), str(tmp_path / "out"), str(tmp_path / "state"))
     assert query.awaitTermination(120)
     got = sorted(r["input_ids"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted(r["input_ids"] for r in stream_rows.encode_lines(made, words, 6).collect())

@@ -80,7 +80,7 @@ def pairs_csv(n, missing):
 
 def test_pair_head_comes_before_dropping(spark, tmp_path):
     path = write(tmp_path / "pairs.csv", pairs_csv(1005, {3, 500, 1002}))
-    got = readers.read_pairs(spark, path).orderBy("row_ord").collect()
+    got = readers.read_pairs(spark, path, head=1000).orderBy("row_ord").collect()
     assert [r["row_ord"] for r in got] == [i for i in range(1000) if i not in {3, 500}]
     assert got[3]["inputs"] == "q4" and got[3]["targets"] == "a4"
     assert readers.read_pairs(spark, path, head=None).count() == 1002
@@ -109,3 +109,17 @@ def test_vocab_file(spark, tmp_path):
     path = write(tmp_path / "vocab.txt", "[PAD]\n[UNK]\n[CLS]\n[SEP]\n[MASK]\nword\n##s\n")
     got = {r["token"]: r["id"] for r in readers.read_vocab(spark, path).collect()}
     assert got == {"[PAD]": 0, "[UNK]": 1, "[CLS]": 2, "[SEP]": 3, "[MASK]": 4, "word": 5, "##s": 6}
+
+
+def test_strict_csv_refuses_bad_bytes(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_bytes(b"text\nfine line here\nbad \xff byte here\n")
+    assert readers.read_corpus(spark, str(path), "text").count() == 2
+    with pytest.raises(ValueError):
+        readers.read_corpus(spark, str(path), "text", strict_utf8=True)
+
+
+def test_pairs_are_read_whole_by_default(spark, tmp_path):
+    path = tmp_path / "pairs.csv"
+    path.write_text("inputs,targets\n" + "".join(f"a{i},b{i}\n" for i in range(1500)))
+    assert readers.read_pairs(spark, str(path)).count() == 1500
