@@ -3,7 +3,8 @@
 A document is its token ids and a closing id. One longer than a sequence is cut into pieces of full length, the
 first piece being the shorter one; all other documents stay whole. Full pieces are sequences already. The rest are
 packed by the sum-of-squares rule: place each document where the squared counts of open bins per residual gap
-become smallest, over all open bins and a new one.
+become smallest, over all open bins that it fits, or in a new one if it fits none. (Longest first, a bin opened earlier than
+that is never filled as well: on lengths evenly spread up to the capacity it costs 4 % more bins.)
 
 At scale: texts are tokenized where they are read and only lengths move. Pieces are dealt evenly over groups of about
 ``GROUP_PIECES``; each group packs its own in one task, longest first, then empties the bins that kept a gap and
@@ -81,7 +82,8 @@ def cut(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id:
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bin and offset of each item, and the fill of each bin. Items are taken in the given order."""
+    """Bin and offset of each item, and the fill of each bin. Items are taken in the given order; a bin is opened
+    only for an item that fits no open one."""
     bins = np.empty(len(lengths), np.int64)
     offsets = np.empty(len(lengths), np.int64)
     open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -95,7 +97,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         change[0] = 1 - 2 * counts[size]
         change[-1] = 2 * counts[capacity - size] + 1 if size < capacity else 0
         blank = counts[size:] == 0
-        blank[-1] = False
+        blank[-1] = not blank[:-1].all()
         change[blank] = np.iinfo(np.int64).max
         gap = size + int(change.argmin())  # ties: the smallest gap, the best fit
         if gap == capacity:
