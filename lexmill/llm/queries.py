@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, passages, quality, token_count, toxicity, warc
+from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, passages, quality, token_count, token_files, toxicity, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +20,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.document_tokens(spark, sf_dir, BYTE_BPE)
 
 
+def op13_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored_documents(spark, sf_dir, BYTE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.toxicity,
     "op2_quality_gam": quality.quality,
@@ -31,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main_text": html_text.page_texts,
     "op9_bbit_minhash": minhash.near_duplicate_classes,
     "op10_benchmark_decontamination": decontaminate.contamination,
+    "op13_orc_token_files": op13_orc_token_files,
 }
 
 #: SQL for those that it can express.
