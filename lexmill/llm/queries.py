@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, passages, quality, token_count, token_files, toxicity, warc
+from lexmill.llm import decontaminate, graph_ann, html_text, minhash, pack, passages, quality, ranked_search, token_count, token_files, toxicity, vector_codes, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -35,8 +35,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main_text": html_text.page_texts,
     "op9_bbit_minhash": minhash.near_duplicate_classes,
     "op10_benchmark_decontamination": decontaminate.contamination,
+    "op11_hilbert_blocks": vector_codes.coded_embeddings,
+    "op12_max_sketch_search": ranked_search.ranked_documents,
     "op13_orc_token_files": op13_orc_token_files,
 }
 
 #: SQL for those that it can express.
-ORACLES: dict[str, str] = {"op5_warc_chunks": warc.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_warc_chunks": warc.ORACLE,
+    "op11_hilbert_blocks": vector_codes.ORACLE,
+    "op12_max_sketch_search": ranked_search.ORACLE,
+}
