@@ -29,6 +29,9 @@ from lexmill.llm.texts import reach_package, slices
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+# Those of them that may end in their own tag, being no HTML inside.
+SELF_CLOSING = frozenset(("svg", "math"))
+CELLS = frozenset(("td", "th", "table"))
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead "
@@ -88,6 +91,9 @@ class _Page:
         self.tag, self.parent, self.away = ["#"], [0], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._open, self._block, self._links = [0], [0], 0
+        # Places in the list of open elements: of each tag, of blocks and of cells and tables.
+        self._places: dict[str, list[int]] = {}
+        self._blocks_at, self._cells_at = [0], [0]
         self._text: list[str] = []
         self._link_text: list[str] = []
         self._read(source)
@@ -113,24 +119,23 @@ class _Page:
         if tag in BLOCK or self.away[node] != self.away[self.parent[node]]:
             self._flush()
         self._open.pop()
+        self._places[tag].pop()
         if tag in BLOCK:
             self._block.pop()
+            self._blocks_at.pop()
+        if tag in CELLS:
+            self._cells_at.pop()
         if tag == "a":
             self._links -= 1
 
     def _close_implied(self, tag: str) -> None:
         if tag in BLOCK:
             # A block ends an open paragraph, with whatever inline elements were left open in it.
-            for i in range(len(self._open) - 1, 0, -1):
-                name = self.tag[self._open[i]]
-                if name == "p":
-                    while len(self._open) > i:
-                        self._pop()
-                    break
-                if name in BLOCK or name == "button":
-                    break
+            at = self._last("p")
+            if at and at >= self._blocks_at[-1] and at > self._last("button"):
+                self._pop_to(at)
         ends = IMPLIED_END.get(tag)
-        if ends:
+        if ends and any(self._places.get(e) for e in ends):
             shield = SHIELD.get(tag) or ({"table"} if tag in TABLE_PARTS else ())
             for i in range(len(self._open) - 1, 0, -1):
                 name = self.tag[self._open[i]]
@@ -159,23 +164,35 @@ class _Page:
         self.parent.append(above)
         self.away.append(away)
         node = len(self.tag) - 1
+        at = len(self._open)
+        self._places.setdefault(tag, []).append(at)
         self._open.append(node)
         if tag in BLOCK:
             self._block.append(node)
+            self._blocks_at.append(at)
+        if tag in CELLS:
+            self._cells_at.append(at)
         if tag == "a":
             self._links += 1
 
     def _end(self, tag: str) -> None:
         if tag == "br":
             self._add(" ")
-        for i in range(len(self._open) - 1, 0, -1):
-            name = self.tag[self._open[i]]
-            if name == tag:
-                while len(self._open) > i:
-                    self._pop()
-                return
-            if name in BLOCK and tag not in BLOCK or name in ("td", "th", "table") and tag in ("p", "li", "div"):
-                return
+        at = self._last(tag)
+        # An inline element's end does not reach out of a block, nor that of a paragraph or item out of a cell.
+        if tag not in BLOCK and self._blocks_at[-1] > at or tag in ("p", "li", "div") and self._cells_at[-1] > at:
+            return
+        if at:
+            self._pop_to(at)
+
+    def _last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; 0 if there is none."""
+        places = self._places.get(tag)
+        return places[-1] if places else 0
+
+    def _pop_to(self, at: int) -> None:
+        while len(self._open) > at:
+            self._pop()
 
     def _read(self, s: str) -> None:
         at, n = 0, len(s)
@@ -201,7 +218,7 @@ class _Page:
                 at = end
                 if after == "/":
                     self._end(tag)
-                elif tag in RAW and not s.endswith("/>", mark, end):
+                elif tag in RAW and not (tag in SELF_CLOSING and s.endswith("/>", mark, end)):
                     # Its content is no text of the page.
                     stop = _RAW_END[tag].search(s, end)
                     if not stop:
