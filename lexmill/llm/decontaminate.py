@@ -206,19 +206,18 @@ def find_windows(
 def _cleaner(shared, ident: int, window: int, n_blocks: int):
     automaton_of = _automaton_getter(shared, ident, window, n_blocks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", SCAN_BYTES)):
-            texts = batch.column("text").cast(pa.binary())
-            clean = np.ones(batch.num_rows, bool)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            plain = column.cast(pa.binary())
+            clean = np.ones(len(plain), bool)
             for block in range(n_blocks):
                 automaton = automaton_of(block)
                 if len(automaton):
                     for i in np.flatnonzero(clean):
-                        plain = normal(texts[i].as_py()).decode("latin-1")
-                        clean[i] = next(automaton.iter(plain), None) is None
-            yield batch.filter(pa.array(clean))
+                        clean[i] = next(automaton.iter(normal(plain[i].as_py()).decode("latin-1")), None) is None
+            yield pa.array(clean)
 
-    return run
+    return F.arrow_udf(run, "boolean")
 
 
 def keep_clean(
@@ -229,13 +228,15 @@ def keep_clean(
     window: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
-    """The rows of ``documents`` (text in ``text``), all columns, that hold no window of a test item."""
+    """The rows of ``documents`` (text in ``text``), all columns, that hold no window of a test item. Only texts go to Python and
+    verdicts come back."""
     spark = documents.sparkSession
     reach_package(spark)
     clean = documents
     for blocks in _groups(benchmark, item_id, item_text, window, block_windows):
         shared = spark.sparkContext.broadcast(blocks)
-        clean = clean.mapInArrow(_cleaner(shared, uuid.uuid4().int, window, len(blocks)), documents.schema)
+        verdict = _cleaner(shared, uuid.uuid4().int, window, len(blocks))
+        clean = clean.where(verdict(F.col("text").cast("string")))
     return clean
 
 

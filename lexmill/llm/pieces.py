@@ -21,7 +21,7 @@ import pyarrow as pa
 import tiktoken
 from tokenizers import Tokenizer
 
-from lexmill.llm.texts import poly_hashes, raw_bytes
+from lexmill.llm.texts import range_hashes, raw_bytes
 
 # Fixed value: the public pattern that byte-level BPE splits text with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -119,7 +119,7 @@ class Units:
         self.start = np.flatnonzero(cut)
         self.end = np.append(self.start[1:], len(kind)) if len(self.start) else self.start
         self.row = np.searchsorted(low, self.start, side="right") - 1
-        self.hashes = poly_hashes(self.data, self.start, self.end)
+        self.hashes = range_hashes(self.data, self.start, self.end)
         self.hashes[self.hashes == 0] = 1
 
     def text(self, i: int) -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.scratch import materialize
 from lexmill.llm.labelled import SAMPLE_ROWS, crc_fold, labelled_sample
-from lexmill.llm.texts import SPACED, Words, grams, poly_hashes, raw_bytes, reach_package, slices
+from lexmill.llm.texts import SPACED, Words, grams, range_hashes, raw_bytes, reach_package, slices
 
 FEATURES = (
     "log_bytes letters upper digits sentence_marks symbols spaces entropy log_words word_length long_words distinct_words "
@@ -43,6 +43,8 @@ PAIR_BINS = 8
 PAIR_ROUNDS = 40
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
+#: Texts measured together: the arrays of a slice take about 50 times its bytes and 8 kB a row.
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 1024
 
 # Classes of bytes: letters are ASCII letters and all bytes outside ASCII.
 _UPPER, _LOWER, _DIGIT, _MARK, _SPACE, _SYMBOL = range(6)
@@ -99,7 +101,7 @@ def figures(column: pa.Array) -> np.ndarray:
     line_start = np.flatnonzero(first)
     line_end = np.append(line_start[1:], len(raw))
     line_row = row[line_start] if len(raw) else np.zeros(0, np.int32)
-    line_hash = poly_hashes(raw, line_start, line_end)
+    line_hash = range_hashes(raw, line_start, line_end)
     lines = np.bincount(line_row, minlength=n)
 
     columns = [
@@ -130,7 +132,7 @@ def figures(column: pa.Array) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
             x = figures(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [part.column("y"), *(pa.array(c) for c in x.T)], names=["y", *FEATURES]
@@ -171,7 +173,14 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
 
 
-def boost(bins: np.ndarray, y: np.ndarray, hold: np.ndarray, pairs: int = PAIRS) -> tuple[float, np.ndarray, list]:
+def coarse_bins(bins: np.ndarray, widths: list[int]) -> np.ndarray:
+    """Bins for the pair tables: each feature's own bins, ``widths`` of them, in at most ``PAIR_BINS`` runs of equal length."""
+    return bins * PAIR_BINS // np.maximum(widths, PAIR_BINS)
+
+
+def boost(
+    bins: np.ndarray, y: np.ndarray, hold: np.ndarray, widths: list[int], pairs: int = PAIRS
+) -> tuple[float, np.ndarray, list]:
     """(bias, table per feature, [(i, j, table)]) from binned features; rows in ``hold`` only tell when to stop."""
     fit = ~hold
     bias = float(np.log((y[fit].sum() + 0.5) / ((1 - y[fit]).sum() + 0.5)))
@@ -192,11 +201,13 @@ def boost(bins: np.ndarray, y: np.ndarray, hold: np.ndarray, pairs: int = PAIRS)
             break
     tables, z = kept
     crosses = []
-    coarse = bins * PAIR_BINS // BINS
+    coarse = coarse_bins(bins, widths)
+    # The 2x2 split of a pair is made at the middle of each feature's own runs.
+    middle = (np.minimum(widths, PAIR_BINS) + 1) // 2
     error, weight = y[fit] - _sigmoid(z[fit]), _sigmoid(z[fit]) * (1 - _sigmoid(z[fit]))
     for i in range(bins.shape[1]):
         for j in range(i):
-            cell = (coarse[fit, i] >= PAIR_BINS // 2) * 2 + (coarse[fit, j] >= PAIR_BINS // 2)
+            cell = (coarse[fit, i] >= middle[i]) * 2 + (coarse[fit, j] >= middle[j])
             g, h = np.bincount(cell, error, 4), np.bincount(cell, weight, 4)
             crosses.append(((g**2 / (h + 1)).sum(), i, j))
     chosen = [(i, j, np.zeros(PAIR_BINS**2)) for _, i, j in sorted(crosses, reverse=True)[:pairs]]
@@ -233,7 +244,7 @@ def _bag_fitter(cuts: list[np.ndarray]):
         bag = int(pdf["bag"].iloc[0])
         pdf = pdf.sort_values(["part", *FEATURES])
         bins = _binned(pdf[FEATURES].to_numpy(), cuts)
-        bias, tables, pairs = boost(bins, pdf["y"].to_numpy(float), (pdf["part"] == bag).to_numpy())
+        bias, tables, pairs = boost(bins, pdf["y"].to_numpy(float), (pdf["part"] == bag).to_numpy(), [len(c) + 1 for c in cuts])
         rows = [(bag, -1, -1, [bias]), *((bag, f, -1, t.tolist()) for f, t in enumerate(tables))]
         rows += [(bag, i, j, t.tolist()) for i, j, t in pairs]
         return pd.DataFrame(rows, columns=["bag", "i", "j", "entries"])
@@ -252,7 +263,8 @@ def learn(sample: DataFrame, bags: int = BAGS) -> dict:
     cuts = [np.unique(c) for c in measured.approxQuantile(FEATURES, steps, 0.002)]
     dealt = measured.withColumn("part", F.pmod(F.xxhash64(*FEATURES), F.lit(bags)).cast("int"))
     copies = dealt.withColumn("bag", F.explode(F.array(*[F.lit(b) for b in range(bags)])))
-    fitted = copies.groupBy("bag").applyInPandas(_bag_fitter(cuts), "bag int, i int, j int, entries array<double>").toPandas()
+    # Ranges, unlike hashes, give every bag a task of its own.
+    fitted = copies.repartitionByRange(bags, "bag").groupBy("bag").applyInPandas(_bag_fitter(cuts), "bag int, i int, j int, entries array<double>").toPandas()
     model = {"cuts": cuts, "bias": 0.0, "tables": np.zeros((len(FEATURES), BINS)), "pairs": {}}
     n = fitted["bag"].nunique()
     for r in fitted.itertuples():
@@ -273,38 +285,49 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     z = np.full(len(x), model["bias"])
     for f, table in enumerate(model["tables"]):
         z += table[bins[:, f]]
-    coarse = bins * PAIR_BINS // BINS
+    coarse = coarse_bins(bins, [len(c) + 1 for c in model["cuts"]])
     for (i, j), table in model["pairs"].items():
         z += table[coarse[:, i] * PAIR_BINS + coarse[:, j]]
     return _sigmoid(z)
 
 
-def _scorer(shared, keep: float | None):
+def _scored(model: dict, rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    for part in slices(rows, "text", SLICE_BYTES, SLICE_ROWS):
+        yield part, predict(model, figures(part.column("text")))
+
+
+def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                score = predict(shared.value, figures(part.column("text")))
-                if keep is None:
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
-                else:
-                    yield part.filter(pa.array(score >= keep))
+            for part, score in _scored(shared.value, batch):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
     return run
 
 
+def _good(shared, threshold: float):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            rows = pa.RecordBatch.from_arrays([text], names=["text"])
+            kept = [score >= threshold for _, score in _scored(shared.value, rows)]
+            yield pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
+
+    return F.arrow_udf(run, "boolean")
+
+
 def score(documents: DataFrame, model: dict) -> DataFrame:
     """``doc_id, score`` of every whole text."""
     reach_package(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_scorer(shared, None), "doc_id long, score double")
+    return docs.mapInArrow(_scorer(shared), "doc_id long, score double")
 
 
 def keep_good(documents: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents``, all columns, that score at least ``threshold``."""
+    """The rows of ``documents``, all columns, that score at least ``threshold``. Only texts go to Python and verdicts come back."""
     reach_package(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    return documents.mapInArrow(_scorer(shared, threshold), documents.schema)
+    return documents.where(_good(shared, threshold)(F.col("text").cast("string")))
 
 
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:

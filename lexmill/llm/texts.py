@@ -12,11 +12,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import SparkSession
 
-SLICE_BYTES = 2 << 20
-_PIECE_BYTES = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 8192
+#: Longest range that is hashed block by block for all ranges at once; longer ones are rare.
+_BLOCKWISE_BYTES = 64
+_SEED = 0x5851F42D4C957F2D
 
 
 def reach_package(spark: SparkSession) -> None:
@@ -41,15 +43,17 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows that hold at most ``max_bytes`` of text, or a single row."""
+def slices(
+    batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES, max_rows: int = SLICE_ROWS
+) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``max_rows`` rows that hold at most ``max_bytes`` of text, or a single row."""
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
     low = 0
     while low < batch.num_rows:
         before = ends[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+        high = min(low + max_rows, max(low + 1, int(np.searchsorted(ends, before + max_bytes, side="right"))))
         yield batch.slice(low, high - low)
         low = high
 
@@ -90,44 +94,34 @@ class Words:
         return np.bincount(self.row, minlength=self.rows)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each lower-cased word: a polynomial of its bytes, mixed."""
-        return poly_hashes(self.data, self.start, self.end)
-
-
-def poly_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte range; the ranges are in order and do not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    low = 0
-    while low < len(out):
-        at = starts[low]
-        high = max(low + 1, int(np.searchsorted(starts, at + _PIECE_BYTES)))
-        piece = data[at : ends[high - 1]].astype(np.uint64) + np.uint64(1)
-        power, inverse = _powers(len(piece))
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(piece * power, out=sums[1:])
-        start, end = starts[low:high] - at, ends[low:high] - at
-        out[low:high] = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
-        low = high
+        """A 64-bit hash of each lower-cased word."""
+        return range_hashes(self.data, self.start, self.end)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte range: eight bytes after eight are mixed into the state, so no sum of the bytes' places decides it.
+
+    Ranges of up to eight bytes and equal length have different hashes. Long ranges are hashed one by one."""
+    length = ends - starts
+    out = mix(length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(_SEED))
+    if not len(out):
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+    left = np.flatnonzero((length > 0) & (length <= _BLOCKWISE_BYTES))
+    done = 0
+    while len(left):
+        rest = length[left] - done
+        used = np.minimum(rest, 8).astype(np.uint64)
+        block = blocks[starts[left] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - used * np.uint64(8)))
+        out[left] = mix((out[left] ^ block) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(_SEED))
+        left = left[rest > 8]
+        done += 8
+    for i in np.flatnonzero(length > _BLOCKWISE_BYTES):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), _SEED)
     return out
 
 
-_power_cache: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _power_cache or len(_power_cache[0]) < n:
-        size = max(n, _PIECE_BYTES + 4096)
-        pair = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            full = np.full(size, base, np.uint64)
-            full[0] = 1
-            pair.append(np.cumprod(full, dtype=np.uint64))
-        if n > 8 * _PIECE_BYTES:
-            return pair[0][:n], pair[1][:n]
-        _power_cache[:] = pair
-    return _power_cache[0][:n], _power_cache[1][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits (the finalizer of a public 64-bit generator)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.scratch import materialize
 from lexmill.llm.pieces import HashTable, Splitter, Units
-from lexmill.llm.texts import poly_hashes, raw_bytes, reach_package, slices
+from lexmill.llm.texts import range_hashes, raw_bytes, reach_package, slices
 
 LIMIT = 1024
 #: Pre-tokens joined by broadcast: about 3 MB to send, 30 MB in a worker.
@@ -100,7 +100,7 @@ def _head_table(shared, ident: str) -> tuple[HashTable, np.ndarray]:
         names, pieces = shared.value
         data, offsets = raw_bytes(pa.array(names, pa.string()))
         table = HashTable()
-        table.add(poly_hashes(data, offsets[:-1], offsets[1:]))
+        table.add(range_hashes(data, offsets[:-1], offsets[1:]))
         _heads[ident] = table, np.append(np.array(pieces, np.int64), 0)
     return _heads[ident]
 
