@@ -241,7 +241,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         "nodes",
     )
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", "key")
-    order = F.struct(F.xxhash64("node", "band").alias("o"), F.col("node").alias("node"))
+    # One order for all bands: the members of a dense group meet the same document in nearly all their buckets.
+    order = F.struct(F.xxhash64("node").alias("o"), F.col("node").alias("node"))
     buckets = materialize(
         placed.groupBy("band", "key").agg(F.min(order).alias("pivot"), F.count("*").alias("size")).where("size > 1")
         .select("band", "key", F.col("pivot.node").alias("pivot")),
