@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -88,6 +89,29 @@ def test_token_counts(spark, small):
         assert all(r["over_limit"] == (r["n_tokens"] > 1024) for r in got)
 
 
+def thue_morse(n, a, b):
+    """Words that collide under every polynomial hash modulo a power of two, from about 1,000 letters on."""
+    x = [0]
+    while len(x) < n:
+        x += [1 - i for i in x]
+    return "".join((a, b)[i] for i in x[:n])
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 8192])
+def test_long_words_are_told_apart(spark, n):
+    rows = [(1, thue_morse(n, "e", "t")), (2, thue_morse(n, "t", "e"))]
+    docs = documents(spark, rows).coalesce(1)
+    library = Tokenizer.from_file(BPE)
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in rows}
+    counted = token_count.count_tokens(docs, BPE).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in counted} == {i: len(ids) for i, ids in want.items()}
+    pieces = pack.pack(docs, BPE).collect()
+    first = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in pieces if r["piece"] == 0}
+    ids = {i: np.array(x + [0], "<u4") for i, x in want.items()}
+    assert first == {i: (k := len(x) % 2048 or 2048, zlib.crc32(x[:k].tobytes())) for i, x in ids.items()}
+    assert all(r["kept"] for r in minhash.near_duplicates(docs).collect())
+
+
 def test_archives(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
     twin = pages.selectExpr("page_id + 1000", "url", "html")
@@ -140,6 +164,16 @@ def test_main_text(source, text):
     assert html_text.main_text(source) == text
 
 
+def test_raw_elements_and_stray_ends():
+    body = "<article><p>Real text of an article, with commas, and long enough to be kept as such.</p>"
+    for raw in ("<script src='x' />var x=1;</script>", "<style/>p {}</style>", "<script>var x=1;</script>", "<svg width='1'/>"):
+        assert html_text.main_text(body + raw + "<p>The second part of it, also long enough, as can be seen.</p></article>").count("\n") == 1
+    started = time.perf_counter()
+    for tail in ("<b>" * 100_000 + "</i>" * 100_000, "<b>" * 60_000 + "<hr>" * 60_000, "<div>" * 50_000 + "</p>" * 50_000):
+        assert html_text.main_text(body + tail).startswith("Real text")
+    assert time.perf_counter() - started < 20
+
+
 def test_pages_query(spark):
     pages = spark.createDataFrame([(None, None, None, 1), (1, "u", "<p>a</p>", 2), (1, "u", "<p>a</p>", 2)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, html_text.extract(pages).collect()), key=str) == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
@@ -329,6 +363,25 @@ def test_classifiers_on_odd_rows(spark, module, label):
         assert quality.keep_good(docs, {"share": 0.0}).columns == docs.columns
 
 
+def test_pair_tables_use_every_bin_of_a_feature():
+    """A feature of few bins spreads over as many runs, and an interaction of two such features is found."""
+    widths = [3, 5, 48, 2, 1]
+    for f, w in enumerate(widths):
+        bins = np.zeros((w, len(widths)), np.int64)
+        bins[:, f] = np.arange(w)
+        runs = quality.coarse_bins(bins, widths)[:, f]
+        assert len(set(runs)) == min(w, quality.PAIR_BINS) and (np.diff(runs) >= 0).all()
+    rng = np.random.default_rng(4)
+    bins = np.stack([rng.integers(0, w, 6000) for w in widths], axis=1)
+    y = ((bins[:, 0] >= 2) ^ (bins[:, 1] >= 3)).astype(float)
+    bias, tables, pairs = quality.boost(bins, y, np.arange(6000) % 4 == 0, widths, pairs=1)
+    ((i, j, table),) = pairs
+    assert {i, j} == {0, 1}
+    coarse = quality.coarse_bins(bins, widths)
+    z = bias + sum(t[bins[:, f]] for f, t in enumerate(tables)) + table[coarse[:, i] * quality.PAIR_BINS + coarse[:, j]]
+    assert ((z > 0) == (y > 0)).mean() > 0.95
+
+
 def test_rank_merges_match_the_ranks_file():
     import public_tokenizers
 
