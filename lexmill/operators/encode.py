@@ -1,17 +1,19 @@
-"""Text to token ids. Encoding is a projection: rows are not moved, joined or regrouped."""
+"""Text to token ids. Encoding is a projection: rows are not moved or regrouped while the vocabulary fits a broadcast."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lexmill.functions.lookup import Lookup, build_lookup
+from lexmill.functions.lookup import HEAD_BYTES, token_table, tokens_to_ids
 from lexmill.functions.scratch import materialize
-from lexmill.operators.vocab import CLS, PAD, SEP, UNK, WORDS, most_frequent, split_tokens, token_counts
-
-MAX_WORD_CHARS = 100
-MEMO_WORDS = 1 << 17
+from lexmill.functions.workers import reach_package
+from lexmill.operators.vocab import CLS, CONTINUES, MAX_WORD_CHARS, PAD, SEP, UNK, WORDS, split_tokens, token_counts
 
 
 def with_masks(df: DataFrame) -> DataFrame:
@@ -27,19 +29,21 @@ def _bracket(ids: Column, add_special: bool) -> Column:
 
 
 def encode_ids(
-    corpus: DataFrame, vocab: DataFrame, add_special: bool = True, text: str = "text", pattern: str = WORDS
+    corpus: DataFrame,
+    vocab: DataFrame,
+    add_special: bool = True,
+    text: str = "text",
+    pattern: str = WORDS,
+    head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
     """Replace ``text`` by ``input_ids``; a token outside the vocabulary becomes the unknown id.
 
-    ``vocab`` should be a written table (it is small and read more than once).
+    ``vocab`` should be a written table (it is read more than once). Rows are not moved while it fits ``head_bytes``.
     """
-    lookup = build_lookup(vocab, "token", "id")
     keep = [c for c in corpus.columns if c != text]
-    ids = F.transform(
-        split_tokens(F.col(text), pattern), lambda t: F.coalesce(lookup.get(F.col("_slots"), t), F.lit(UNK))
-    )
-    slots = corpus.withColumn("_slots", lookup.scalar())
-    return slots.select(*keep, _bracket(ids, add_special).alias("input_ids"))
+    table = token_table(vocab, "id", head_bytes)
+    ids = tokens_to_ids(corpus, split_tokens(F.col(text), pattern), keep, table, UNK)
+    return ids.select(*keep, _bracket(F.col("input_ids"), add_special).alias("input_ids"))
 
 
 def encode(corpus: DataFrame, vocab: DataFrame, add_special: bool = True, **options) -> DataFrame:
@@ -88,42 +92,97 @@ def model_inputs(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.select(*(keys or []), "input_ids", "attention_mask")
 
 
-def word_pieces(word: Column, pieces: Lookup, slots: Column, max_piece: int) -> Column:
-    """Longest-match-first pieces of one word; one unknown id if any part of the word has no piece."""
-    n = F.length(word)
-
-    def candidates(at: Column) -> Column:
-        mark = F.when(at > 1, "##").otherwise("")
-        lengths = F.sequence(F.least(F.lit(max_piece), n - at + 1), F.lit(1), F.lit(-1))
-        found = F.transform(
-            lengths,
-            lambda k: F.struct(
-                k.alias("len"), pieces.get(slots, F.concat(mark, F.substring(word, at, k))).alias("id")
-            ),
-        )
-        return F.get(F.filter(found, lambda c: c["id"].isNotNull()), F.lit(0))
-
-    def step(state: Column, at: Column) -> Column:
-        best = F.transform(F.array(candidates(at)), lambda c: _advance(state, at, c))
-        skip = state["failed"] | (at < state["next"])
-        return F.when(skip, state).otherwise(F.get(best, F.lit(0)))
-
-    def finish(state: Column) -> Column:
-        return F.when(state["failed"], F.array(F.lit(UNK))).otherwise(state["ids"])
-
-    start = _state(F.lit(1), F.array().cast("array<int>"), F.lit(False))
-    walked = F.aggregate(F.sequence(F.lit(1), n), start, step, finish)
-    return F.when(n > MAX_WORD_CHARS, F.array(F.lit(UNK))).otherwise(walked)
-
-
-def _state(following: Column, ids: Column, failed: Column) -> Column:
-    return F.struct(following.cast("int").alias("next"), ids.alias("ids"), failed.alias("failed"))
+class PieceTree:
+    """Longest-match-first pieces of a word in one walk over its characters.
 
+    Pieces lie in two prefix trees, one for the beginning of a word and one for what continues it. A node that cannot go on
+    knows which pieces its path breaks into by longest match, and the node of the second tree that the rest of the path leads
+    to, so no character is looked at twice. Both are worked out once, level by level.
+    """
 
-def _advance(state: Column, at: Column, best: Column) -> Column:
-    return F.when(best.isNull(), _state(state["next"], state["ids"], F.lit(True))).otherwise(
-        _state(at + best["len"], F.concat(state["ids"], F.array(best["id"])), F.lit(False))
-    )
+    def __init__(self, pieces: Iterable[tuple[str, int]]):
+        self.nexts: list[dict[str, int]] = [{}, {}]
+        self.piece: list[int | None] = [None, None]
+        for token, number in pieces:
+            self._add(0, token, number)
+            if token.startswith(CONTINUES) and len(token) > len(CONTINUES):
+                self._add(1, token.removeprefix(CONTINUES), number)
+        self._link()
+
+    def _add(self, root: int, text: str, number: int) -> None:
+        node = root
+        for char in text:
+            following = self.nexts[node].get(char)
+            if following is None:
+                following = self.nexts[node][char] = len(self.nexts)
+                self.nexts.append({})
+                self.piece.append(None)
+            node = following
+        self.piece[node] = number
+
+    def _link(self) -> None:
+        n = len(self.nexts)
+        self.rest: list[int | None] = [None] * n
+        self.broken: list[tuple[int, ...]] = [()] * n
+        level = [0, 1]
+        while level:
+            below = []
+            for node in level:
+                for char, child in self.nexts[node].items():
+                    below.append(child)
+                    if self.piece[child] is not None:
+                        self.rest[child], self.broken[child] = 1, (self.piece[child],)
+                        continue
+                    at, taken = self.rest[node], self.broken[node]
+                    while at is not None and char not in self.nexts[at]:
+                        taken, at = taken + self.broken[at], self.rest[at]
+                    if at is not None:
+                        self.rest[child], self.broken[child] = self.nexts[at][char], taken
+            level = below
+
+    def cut(self, word: str) -> list[int]:
+        """The pieces' ids, or the unknown id alone if any part of the word has no piece."""
+        node, out = 0, []
+        for char in word:
+            while char not in self.nexts[node]:
+                if self.rest[node] is None:
+                    return [UNK]
+                out += self.broken[node]
+                node = self.rest[node]
+            node = self.nexts[node][char]
+        while node != 1:
+            if self.rest[node] is None:
+                return [UNK]
+            out += self.broken[node]
+            node = self.rest[node]
+        return out
+
+
+_trees: dict[str, PieceTree] = {}
+
+
+def cut_words(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(token, ids, freq) of distinct words (token, freq), each cut once.
+
+    Every executor holds all pieces, so their bytes are checked."""
+    reach_package(words.sparkSession)
+    size = pieces.agg(F.sum(F.octet_length("token") + 4)).first()[0] or 0
+    if size > HEAD_BYTES:
+        raise ValueError(f"{size} bytes of sub-word pieces are more than the {HEAD_BYTES} that every executor may hold")
+    table = [(r["token"], r["id"]) for r in pieces.select("token", "id").collect()]
+    name, packed = uuid.uuid4().hex, words.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _trees:
+            _trees.clear()
+            _trees[name] = PieceTree(packed.value)
+        tree = _trees[name]
+        for batch in batches:
+            cuts = [tree.cut(w) if len(w) <= MAX_WORD_CHARS else [UNK] for w in batch.column("token").to_pylist()]
+            ids = pa.array(cuts, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("token"), ids, batch.column("freq")], names=["token", "ids", "freq"])
+
+    return words.select("token", "freq").mapInArrow(run, "token string, ids array<int>, freq bigint")
 
 
 def encode_subword_ids(
@@ -133,29 +192,19 @@ def encode_subword_ids(
     text: str = "text",
     pattern: str = WORDS,
     counts: DataFrame | None = None,
+    head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
     """Replace ``text`` by sub-word ``input_ids``.
 
-    The most frequent words are cut once and kept in a bounded lookup; the rest, which are rare by
-    construction, are cut where they stand. Frequent words cause no skew since no row is moved.
+    Every distinct word is cut once; the words and their pieces are then a table like a vocabulary: the frequent ones are looked up
+    where they stand, the rest is joined back. ``counts`` is the written (token, freq) table of the words, if there is one.
     """
-    lookup = build_lookup(pieces, "token", "id")
-    plain = F.when(F.col("token").startswith("##"), F.length("token") - 2).otherwise(F.length("token"))
-    max_piece = pieces.agg(F.max(plain)).first()[0]
-    counts = counts if counts is not None else token_counts(corpus, text, pattern)
-    words = most_frequent(counts, MEMO_WORDS).withColumn("_slots", lookup.scalar())
-    cut = words.select("token", word_pieces(F.col("token"), lookup, F.col("_slots"), max_piece).alias("ids"))
-    memo = build_lookup(materialize(cut, "word_pieces"), "token", "ids")
-
+    if counts is None:
+        counts = materialize(token_counts(corpus, text, pattern), "word_counts")
+    table = token_table(materialize(cut_words(counts, pieces), "word_pieces"), "ids", head_bytes)
     keep = [c for c in corpus.columns if c != text]
-    ids = F.transform(
-        split_tokens(F.col(text), pattern),
-        lambda t: F.coalesce(
-            memo.get(F.col("_memo"), t), word_pieces(t, lookup, F.col("_slots"), max_piece)
-        ),
-    )
-    ready = corpus.withColumns({"_memo": memo.scalar(), "_slots": lookup.scalar()})
-    return ready.select(*keep, _bracket(F.flatten(ids), add_special).alias("input_ids"))
+    ids = tokens_to_ids(corpus, split_tokens(F.col(text), pattern), keep, table, UNK)
+    return ids.select(*keep, _bracket(F.col("input_ids"), add_special).alias("input_ids"))
 
 
 def encode_subword(corpus: DataFrame, pieces: DataFrame, add_special: bool = True, **options) -> DataFrame:

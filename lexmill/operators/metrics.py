@@ -29,6 +29,39 @@ def batch_losses(scored: DataFrame, batches: DataFrame, keys: list[str] | None =
     )
 
 
+def row_losses(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys…, row_nll, row_pred): what each row adds to the loss of the batch it lies in."""
+    return scored.groupBy(*keys).agg(F.sum("nll").alias("row_nll"), F.count(F.lit(1)).alias("row_pred"))
+
+
+def losses_of_rows(rows: DataFrame, batches: DataFrame, on: list[str], keys: list[str] | None = None) -> DataFrame:
+    """The same as :func:`batch_losses` from :func:`row_losses`, which meet the batches' members ``on`` their keys.
+
+    Only a pair of numbers a row moves, so rows scored once can be put into any number of batch orders.
+    """
+    by = [*(keys or []), "batch_id"]
+    met = batches.select(*dict.fromkeys([*by, *on])).join(rows, on, "left")
+    n = F.coalesce(F.sum("row_pred"), F.lit(0))
+    loss = F.when(n > 0, F.sum("row_nll") / n).otherwise(F.lit(float("nan")))
+    return met.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), n.alias("n_pred"), loss.alias("loss"))
+
+
+def update_log(losses: DataFrame, accumulation: int = 4, every: int = 5) -> DataFrame:
+    """(step, mean_loss): after every ``every``-th update, the mean loss of the batches since the entry before.
+
+    ``losses`` holds the batches of each ``epoch``. ``accumulation`` batches make an update, the last one of an epoch may have fewer;
+    updates are numbered from 1 through all epochs. Updates after the last full group are not logged.
+    """
+    per_epoch = losses.groupBy("epoch").agg((idiv(F.max("batch_id"), accumulation) + 1).alias("_updates"))
+    # One row per epoch.
+    before = F.coalesce(F.sum("_updates").over(W.orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = per_epoch.select("epoch", before.alias("_before"), F.sum("_updates").over(W.partitionBy()).alias("_all"))
+    update = F.col("_before") + idiv(F.col("batch_id"), accumulation)
+    step = (idiv(update, every) + 1) * every
+    logged = losses.join(F.broadcast(starts), "epoch").withColumn("step", step).filter(F.col("step") <= F.col("_all"))
+    return logged.groupBy("step").agg(F.avg("loss").alias("mean_loss"))
+
+
 def perplexity_weighted(losses: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """exp of the batch losses averaged with the number of rows of each batch."""
     mean = F.sum(F.col("loss") * F.col("n_rows")) / F.sum("n_rows")

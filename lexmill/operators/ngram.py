@@ -51,6 +51,36 @@ class MaskedModel:
         }
 
 
+@dataclass(frozen=True)
+class TrigramModel:
+    """Back-off model of a token after the two before it, with absolute discounts.
+
+    ``trigrams`` (u, h, w, n) holds how often a token followed its two predecessors (`EDGE` before a row). The lower orders do
+    not count occurrences but left contexts: ``pairs`` (h, w, n) the distinct tokens seen before a pair, ``tokens`` (w, n) the distinct
+    tokens before a token. ``wide`` (u, h, n, kinds) and ``narrow`` (h, n, kinds) are the totals of a context and how many
+    different tokens followed in it. ``discounts`` (order, discount, n, kinds) has one row per order.
+    """
+
+    trigrams: DataFrame
+    wide: DataFrame
+    pairs: DataFrame
+    narrow: DataFrame
+    tokens: DataFrame
+    discounts: DataFrame
+    vocab_size: int
+    k: float = 0.0  # no additive constant; kept so that all models are saved alike
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "trigrams": self.trigrams,
+            "wide": self.wide,
+            "pairs": self.pairs,
+            "narrow": self.narrow,
+            "tokens": self.tokens,
+            "discounts": self.discounts,
+        }
+
+
 def _shifted_right(ids: Column) -> Column:
     return F.concat(F.array(F.lit(EDGE)), F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))))
 
@@ -66,6 +96,14 @@ def causal_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.inline(zipped)).filter(F.col("h") != EDGE)
 
 
+def trigram_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys…, u, h, w): every token but the first of its row, with the two tokens before it."""
+    ids = F.col("input_ids")
+    before = _shifted_right(ids)
+    zipped = F.arrays_zip(_shifted_right(before).alias("u"), before.alias("h"), ids.alias("w"))
+    return rows.select(*keys, F.inline(zipped)).filter(F.col("h") != EDGE)
+
+
 def masked_positions(rows: DataFrame, keys: list[str], flag: str | None = None) -> DataFrame:
     """(keys…, l, c, r): every labelled position; neighbours come from the corrupted row.
 
@@ -92,6 +130,46 @@ def fit_causal(rows: DataFrame, vocab_size: int, k: float = 0.1) -> CausalModel:
     return CausalModel(bigrams, _roll_up(bigrams, "h"), vocab_size, k)
 
 
+def _contexts(counts: DataFrame, *keys: str) -> DataFrame:
+    """Total of each context and the number of different tokens that followed in it."""
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+
+
+def _discount(counts: DataFrame, order: int) -> DataFrame:
+    """One row: the mass to take from every count, from how many counts are 1 and 2, and the order's totals.
+
+    A half is taken where no count is 1. The discount is at most 1, so no count goes below 0.
+    """
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    discount = F.when(once == 0, F.lit(0.5)).otherwise(once / (once + 2 * twice))
+    return counts.agg(
+        F.lit(order).alias("order"),
+        discount.cast("double").alias("discount"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.count(F.lit(1)).alias("kinds"),
+    )
+
+
+def fit_trigram(rows: DataFrame, vocab_size: int) -> TrigramModel:
+    """One pass over the rows for the trigram table; every other table rolls up the one before it.
+
+    The tables are written: scoring reads them several times, and their sizes tell the optimizer which are small.
+    """
+    trigrams = materialize(_count(trigram_positions(rows, []), "u", "h", "w"), "trigram_counts")
+    pairs = materialize(_count(trigrams, "h", "w"), "left_contexts")
+    tokens = materialize(_count(pairs, "w"), "token_contexts")
+    discounts = _discount(trigrams, 3).unionByName(_discount(pairs, 2)).unionByName(_discount(tokens, 1))
+    return TrigramModel(
+        trigrams=trigrams,
+        wide=materialize(_contexts(trigrams, "u", "h"), "wide_contexts"),
+        pairs=pairs,
+        narrow=materialize(_contexts(pairs, "h"), "narrow_contexts"),
+        tokens=tokens,
+        discounts=materialize(discounts, "discounts"),
+        vocab_size=vocab_size,
+    )
+
+
 def fit_masked(rows: DataFrame, vocab_size: int, k: float = 0.1, **options) -> MaskedModel:
     """Trigram counts in one pass over the clean rows; all other tables roll the trigram table up.
 
@@ -133,6 +211,44 @@ def causal_nll(positions: DataFrame, model: CausalModel) -> DataFrame:
     )
 
 
+def _backed_off(n: str, total: str, kinds: str, discount: Column, lower: Column) -> Column:
+    """What is left of a count after its discount, and the discounted mass spread by the lower order.
+
+    A context that was never seen leaves everything to the lower order."""
+    own = F.greatest(_n(n) - discount, F.lit(0.0)) / F.col(total)
+    return F.when(F.col(total).isNull(), lower).otherwise(own + discount * F.col(kinds) / F.col(total) * lower)
+
+
+def trigram_nll(positions: DataFrame, model: TrigramModel) -> DataFrame:
+    """(u, h, w, seen, nll), one row per distinct trigram that is to be scored.
+
+    Probabilities are worked out once per distinct token, then per distinct pair, then per distinct trigram, so a
+    frequent token is one row of the lower orders. Each order is written: its size decides how the next one is joined.
+    """
+    distinct = materialize(positions.groupBy("u", "h", "w").agg(F.count(F.lit(1)).alias("seen")), "asked_trigrams")
+    asked = materialize(distinct.select("h", "w").distinct(), "asked_pairs")
+    rows = {r["order"]: r for r in model.discounts.collect()}
+    d3, d2, d1 = (F.lit(rows[order]["discount"]) for order in (3, 2, 1))
+    even, total, kinds = 1.0 / model.vocab_size, rows[1]["n"], rows[1]["kinds"]
+    # Without any training pair every token is equally likely.
+    single = F.greatest(_n("n_w") - d1, F.lit(0.0)) / total + d1 * kinds / total * even if total else F.lit(even)
+    tokens = asked.select("w").distinct().join(_renamed(model.tokens, "n_w"), "w", "left").select("w", single.alias("p1"))
+    narrow = model.narrow.withColumnsRenamed({"n": "n_h", "kinds": "k_h"})
+    pairs = (
+        asked.join(_renamed(model.pairs, "n_hw"), ["h", "w"], "left")
+        .join(narrow, "h", "left")
+        .join(materialize(tokens, "asked_tokens"), "w")
+        .select("h", "w", _backed_off("n_hw", "n_h", "k_h", d2, F.col("p1")).alias("p2"))
+    )
+    wide = model.wide.withColumnsRenamed({"n": "n_uh", "kinds": "k_uh"})
+    return (
+        distinct.join(_renamed(model.trigrams, "n_uhw"), ["u", "h", "w"], "left")
+        .join(wide, ["u", "h"], "left")
+        .join(materialize(pairs, "pair_probabilities"), ["h", "w"])
+        .select("u", "h", "w", "seen", (-F.log(_backed_off("n_uhw", "n_uh", "k_uh", d3, F.col("p2")))).alias("nll"))
+    )
+
+
 def masked_nll(positions: DataFrame, model: MaskedModel) -> DataFrame:
     """(l, c, r, seen, nll), one row per distinct context that is to be scored.
 
@@ -186,6 +302,12 @@ def score_causal(rows: DataFrame, model: CausalModel, keys: list[str]) -> DataFr
     return attach_nll(positions, causal_nll(positions, model), ["h", "w"])
 
 
+def score_trigram(rows: DataFrame, model: TrigramModel, keys: list[str]) -> DataFrame:
+    """(keys…, u, h, w, nll) for every predicted position, the same ones as :func:`score_causal`."""
+    positions = materialize(trigram_positions(rows, keys), "positions")
+    return attach_nll(positions, trigram_nll(positions, model), ["u", "h", "w"])
+
+
 def score_masked(rows: DataFrame, model: MaskedModel, keys: list[str]) -> DataFrame:
     """(keys…, l, c, r, nll) for every position whose label is set."""
     positions = materialize(masked_positions(rows, keys), "positions")

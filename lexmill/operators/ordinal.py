@@ -1,8 +1,8 @@
 """Positions in a total order: dense ranks and prefix sums that never sort all rows in one task.
 
 Rows are grouped into small buckets that follow the order, each bucket is totalled, the totals are
-added up, and every row adds its position inside its bucket. Only totals of totals meet in one task:
-one row per `FANOUT` buckets.
+added up, and every row adds its position inside its bucket. The buckets' totals are added up inside ranges that follow
+the data; only the totals of these ranges meet in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import Window as W
 from lexmill.functions.columns import hex_prefix, idiv, md5_key
 from lexmill.functions.scratch import materialize
 
-FANOUT = 4096
 BUCKET_ROWS = 128
 KEY_DIGITS = 5
 
@@ -26,26 +25,29 @@ def _before(window: W) -> W:
 def exclusive_bases(totals: DataFrame, bucket: str, total: str, parts: list[str] | None = None) -> DataFrame:
     """(parts…, bucket, total, base) with ``base`` = sum of ``total`` over all smaller buckets.
 
-    ``totals`` has one row per (parts…, bucket). It is written first, because it is read twice and
-    behind it may be a scan of the whole text.
+    ``totals`` has one row per (parts…, bucket). It is written first, in order and dealt into ranges taken from the data, because it is
+    read twice and behind it may be a scan of the whole text. Only the ranges' totals meet: one row per shuffle partition
+    (and part), however the buckets are spread over their numbers.
     """
     parts = parts or []
-    totals = materialize(totals, "totals").withColumn("_super", idiv(F.col(bucket), FANOUT))
-    supers = (
-        totals.groupBy(*parts, "_super")
+    order = [*parts, bucket]
+    dealt = totals.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    totals = materialize(dealt, "totals")
+    ranges = (
+        totals.groupBy(*parts, "_range")
         .agg(F.sum(total).alias("_sum"))
-        .withColumn("_super_base", F.sum("_sum").over(_before(W.partitionBy(*parts).orderBy("_super"))))
+        .withColumn("_range_base", F.sum("_sum").over(_before(W.partitionBy(*parts).orderBy("_range"))))
         .drop("_sum")
     )
-    inside = F.sum(total).over(_before(W.partitionBy(*parts, "_super").orderBy(bucket)))
+    inside = F.sum(total).over(_before(W.partitionBy(*parts, "_range").orderBy(bucket)))
     return (
         totals.withColumn("_inside", inside)
-        .join(supers, [*parts, "_super"])
+        .join(ranges, [*parts, "_range"])
         .select(
             *parts,
             bucket,
             total,
-            (F.coalesce("_super_base", F.lit(0)) + F.coalesce("_inside", F.lit(0))).cast("bigint").alias("base"),
+            (F.coalesce("_range_base", F.lit(0)) + F.coalesce("_inside", F.lit(0))).cast("bigint").alias("base"),
         )
     )
 
@@ -113,27 +115,20 @@ def shuffled_rank(df: DataFrame, seed: Column | int | str, id_col: str, out: str
 
 
 def file_ordinal(scan: DataFrame, out: str = "row_ord") -> DataFrame:
-    """Number the rows of a file scan in file order, without moving them.
+    """Number the rows of a file scan in file order.
 
-    ``scan`` carries `_path` and `_block` from the file metadata (and may be filtered). Rows of one
-    block are read in order by one task, so their monotonic ids are consecutive; one narrow pass
-    finds the first id and the size of each block, and a second pass adds the rows before it. The
-    written block table has a known size, so the optimizer broadcasts it only while it is small.
+    ``scan`` carries `_path` and `_block` from the file metadata (and may be filtered). Rows of one block are read in order by one
+    task, so their monotonic ids are consecutive. The rows are parsed once and written with them; the table then says where
+    each block begins and how many rows lie before it. Nothing depends on how a later scan would be split.
     """
-    numbered = scan.withColumn("_mid", F.monotonically_increasing_id())
-    blocks = numbered.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # One row per input split.
-    order = _before(W.orderBy("_path", "_block"))
-    blocks = materialize(blocks.withColumn("_base", F.coalesce(F.sum("_n").over(order), F.lit(0))), "blocks")
-    place = F.col("_mid") - F.col("_first")
-    moved = F.col("_base").isNull() | (place < 0) | (place >= F.col("_n"))
-    checked = F.when(moved, F.raise_error(F.lit("input splits changed between the two passes"))).otherwise(
-        F.col("_base") + place
-    )
+    rows = materialize(scan.withColumn("_mid", F.monotonically_increasing_id()), "file_rows")
+    blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    # One row per input split. It is written, so its size is known, and broadcast only while it is small.
+    base = F.coalesce(F.sum("_n").over(_before(W.orderBy("_path", "_block"))), F.lit(0))
+    blocks = materialize(blocks.select("_path", "_block", "_first", base.alias("_base")), "blocks")
+    place = F.col("_base") + F.col("_mid") - F.col("_first")
     return (
-        numbered.join(blocks, ["_path", "_block"], "left")
-        .withColumn(out, checked.cast("bigint"))
-        .drop("_path", "_block", "_mid", "_n", "_first", "_base")
+        rows.join(blocks, ["_path", "_block"])
+        .withColumn(out, place.cast("bigint"))
+        .drop("_path", "_block", "_mid", "_first", "_base")
     )
-
-

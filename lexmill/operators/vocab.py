@@ -6,13 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lexmill.functions.lookup import MAX_ENTRIES
 from lexmill.functions.scratch import materialize
+from lexmill.operators.ordinal import sorted_ordinal
 
 # Special tokens; their ids are their positions.
 SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
 CHAT_SPECIALS = ("<|im_start|>", "<|im_end|>")
 PAD, UNK, CLS, SEP, MASK = range(5)
+# The mark of a piece that does not begin its word, and the longest word that is cut into pieces.
+CONTINUES = "##"
+MAX_WORD_CHARS = 100
+#: Lengths of pieces that are counted in one round.
+PIECE_STEP = 4
 
 # A token is a run of letters and digits, or one other visible character. Blanks are
 # spelled out because `\s` differs between regex engines.
@@ -32,57 +37,79 @@ def token_counts(corpus: DataFrame, text: str = "text", pattern: str = WORDS) ->
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
 
 
-def most_frequent(counts: DataFrame, size: int) -> DataFrame:
-    """The ``size`` most frequent rows of (token, freq), ties by token. The counts are written first.
+def cut_frequency(counts: DataFrame, size: int) -> int:
+    """The lowest frequency that can be among the ``size`` most frequent rows; 0 if all rows are.
 
-    A table of how many tokens have each frequency gives the lowest frequency that can still get in.
-    Only rows at or above it are sorted, so the final sort sees about ``size`` rows and not ``size``
-    rows per task.
+    Found from a table of how many rows have each frequency, so nothing is sorted but frequencies.
     """
-    counts = materialize(counts, "counts")
     tally = counts.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
     from_top = F.sum("n").over(W.orderBy(F.desc("freq")).rowsBetween(W.unboundedPreceding, 0))
-    cut = tally.withColumn("_cum", from_top).filter(F.col("_cum") >= size).agg(F.max("freq").alias("cut"))
-    at_least = F.coalesce(cut.scalar(), F.lit(0))
-    return counts.filter(F.col("freq") >= at_least).orderBy(F.desc("freq"), "token").limit(size)
+    cut = tally.withColumn("_cum", from_top).filter(F.col("_cum") >= size).agg(F.max("freq").alias("cut")).first()["cut"]
+    return cut or 0
 
 
-def number_tokens(counts: DataFrame, specials: tuple[str, ...] = SPECIALS) -> DataFrame:
-    """Give ids to a capped (token, freq) table: specials first, then by frequency and token."""
-    by_rank = W.orderBy(F.desc("freq"), "token")
-    ranked = counts.select("token", (F.row_number().over(by_rank) + len(specials) - 1).alias("id"), "freq")
+def number_tokens(counts: DataFrame, size: int | None = None, specials: tuple[str, ...] = SPECIALS) -> DataFrame:
+    """Ids for the ``size`` most frequent rows of a written (token, freq) table, or for all: specials first, then by
+    frequency and token.
+
+    Rows below the lowest frequency that can get in are left out before the sort, which is by ranges: no task
+    holds the whole vocabulary, however large it is.
+    """
+    if size is not None:
+        counts = counts.filter(F.col("freq") >= cut_frequency(counts, size))
+    ranked = sorted_ordinal(counts.select("token", "freq", (-F.col("freq")).alias("_falling")), ["_falling", "token"], "rank")
+    if size is not None:
+        ranked = ranked.filter(F.col("rank") < size)
+    ids = (F.col("rank") + len(specials)).cast("int")
     fixed = counts.sparkSession.createDataFrame(
         [(token, i, 0) for i, token in enumerate(specials)], "token string, id int, freq bigint"
     )
-    return fixed.unionByName(ranked)
+    return fixed.unionByName(ranked.select("token", ids.alias("id"), "freq"))
 
 
 def build_vocab(
     corpus: DataFrame,
-    max_size: int = 30_000,
+    max_size: int | None = 30_000,
     min_freq: int = 1,
     specials: tuple[str, ...] = SPECIALS,
     text: str = "text",
     pattern: str = WORDS,
 ) -> DataFrame:
-    """Vocabulary of a corpus. ``max_size`` counts the specials and may not pass the lookup limit."""
-    if not len(specials) < max_size <= MAX_ENTRIES:
-        raise ValueError(f"max_size must be above {len(specials)} and at most {MAX_ENTRIES}")
+    """Vocabulary of a corpus. ``max_size`` counts the specials; None keeps every token."""
+    if max_size is not None and max_size <= len(specials):
+        raise ValueError(f"max_size must be above {len(specials)}")
     counts = token_counts(corpus, text, pattern).filter(~F.col("token").isin(*specials))
-    kept = counts.filter(F.col("freq") >= min_freq)
-    return number_tokens(most_frequent(kept, max_size - len(specials)), specials)
+    kept = materialize(counts.filter(F.col("freq") >= min_freq), "counts")
+    return number_tokens(kept, None if max_size is None else max_size - len(specials), specials)
+
+
+def _piece(start: Column, length: Column) -> Column:
+    return F.concat(F.when(start > 1, CONTINUES).otherwise(""), F.substring(F.col("token"), start, length))
 
 
-def piece_counts(words: DataFrame, max_piece: int = 4, max_word: int = 100) -> DataFrame:
-    """(token, freq) of sub-word pieces, weighted by word frequency.
+def frequent_pieces(words: DataFrame, size: int, max_word: int = MAX_WORD_CHARS) -> DataFrame:
+    """(token, freq) of sub-word pieces of any length, the ``size`` most frequent ones among them, weighted by word frequency.
 
-    Pieces are the substrings of up to ``max_piece`` characters; those that do not begin the word
-    carry the ``##`` mark. Works on distinct words, (token, freq).
+    Pieces are substrings of the distinct words (token, freq) of up to ``max_word`` characters; those that do not begin the word
+    carry the ``##`` mark. A piece is at most as frequent as what it begins with, so only places where the longest
+    piece counted so far is still among the ``size`` most frequent are looked at again for longer ones. Each round counts
+    `PIECE_STEP` more lengths; the places left shrink quickly and the rounds end when there are none.
     """
     n = F.length("token")
-    starts = words.filter(n <= max_word).select("token", "freq", F.explode(F.sequence(F.lit(1), n)).alias("at"))
-    cuts = F.explode(F.sequence(F.lit(1), F.least(F.lit(max_piece), n - F.col("at") + 1)))
-    cut = starts.select("token", "freq", "at", cuts.alias("len"))
-    mark = F.when(F.col("at") > 1, "##").otherwise("")
-    piece = F.concat(mark, F.substring(F.col("token"), F.col("at"), F.col("len")))
-    return cut.select(piece.alias("token"), "freq").groupBy("token").agg(F.sum("freq").alias("freq"))
+    places = words.filter(n <= max_word).select("token", "freq", F.explode(F.sequence(F.lit(1), n)).alias("at"))
+    found: DataFrame | None = None
+    done = 0
+    while True:
+        longest = F.least(F.lit(done + PIECE_STEP), n - F.col("at") + 1)
+        cuts = places.select("token", "freq", "at", F.explode(F.sequence(F.lit(done + 1), longest)).alias("length"))
+        pieces = cuts.select(_piece(F.col("at"), F.col("length")).alias("piece"), "freq")
+        counted = materialize(pieces.groupBy(F.col("piece").alias("token")).agg(F.sum("freq").alias("freq")), "pieces")
+        found = counted if found is None else found.unionByName(counted)
+        floor = cut_frequency(found, size)
+        found = materialize(found.filter(F.col("freq") >= floor), "frequent_pieces")
+        done += PIECE_STEP
+        going = found.select(F.col("token").alias("_end"))
+        longer = places.filter(n - F.col("at") + 1 > done).withColumn("_end", _piece(F.col("at"), F.lit(done)))
+        places = materialize(longer.join(going, "_end", "left_semi").drop("_end"), "piece_places")
+        if places.isEmpty():
+            return found

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.scratch import materialize, spread
 from lexmill.operators import batching, masking, metrics, ngram, packing, splitting, vocab
-from lexmill.operators.chat import chat_format_pairs
+from lexmill.operators.chat import chat_format_pairs, choose_text
 from lexmill.operators.encode import encode_fixed, encode_ids, with_masks
+from lexmill.operators.ordinal import sorted_ordinal
 
 
 @dataclass(frozen=True)
@@ -27,11 +28,13 @@ class MaskedOptions:
     print_per_batch_num: int = 100
     train_size: float = 0.9
     test_size: float = 0.1
-    vocab_size: int = 30_000
+    vocab_size: int | None = 30_000
 
 
 @dataclass(frozen=True)
 class CausalOptions:
+    """``order`` is the number of tokens a prediction looks at, itself included: 2 (additive smoothing) or 3 (back-off)."""
+
     num_train_epochs: int = 5
     per_device_train_batch_size: int = 2
     gradient_accumulation: int = 4
@@ -39,10 +42,13 @@ class CausalOptions:
     max_seq_length: int = 256
     input_column: str = "inputs"
     output_column: str = "targets"
-    vocab_size: int = 30_000
+    text_field: str = "text"
+    vocab_size: int | None = 30_000
+    order: int = 2
+    random_seed: int = 42
 
 
-def make_vocab(corpus: DataFrame, size: int, **options) -> DataFrame:
+def make_vocab(corpus: DataFrame, size: int | None, **options) -> DataFrame:
     return materialize(vocab.build_vocab(spread(corpus), size, **options), "vocab")
 
 
@@ -50,9 +56,19 @@ def vocab_width(words: DataFrame) -> int:
     return words.count()
 
 
-def make_chunks(corpus: DataFrame, words: DataFrame, chunk_size: int) -> DataFrame:
-    """Written (window_id, chunk_no, chunk_id, input_ids); the constant columns are added on use."""
-    chunks = packing.chunk_tokens(encode_ids(corpus, words), chunk_size)
+def encoded_rows(docs: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """(row_ord, input_ids) of documents, numbered by a unique ``key``.
+
+    Texts are encoded where they are read and written as ids once. Only the keys are sorted for the numbers; the ids move
+    when they meet them.
+    """
+    tokens = materialize(encode_ids(docs.select(key, "text"), words), "tokens")
+    return tokens.join(sorted_ordinal(tokens.select(key), [key]), key).select("row_ord", "input_ids")
+
+
+def make_chunks(tokens: DataFrame, chunk_size: int) -> DataFrame:
+    """Written (window_id, chunk_no, chunk_id, input_ids) of (row_ord, input_ids); the constant columns are added on use."""
+    chunks = packing.chunk_tokens(tokens, chunk_size)
     return materialize(chunks.select("window_id", "chunk_no", "chunk_id", "input_ids"), "chunks")
 
 
@@ -67,12 +83,18 @@ def eval_batches(test: DataFrame, width: int, o: MaskedOptions) -> DataFrame:
     return materialize(masked, "eval_batches")
 
 
-def train_batches(train: DataFrame, width: int, o: MaskedOptions) -> DataFrame:
-    """Freshly masked, freshly shuffled training batches of every epoch, written once."""
+def epoch_losses(train: DataFrame, model: ngram.MaskedModel, width: int, o: MaskedOptions) -> DataFrame:
+    """Losses of the freshly masked, freshly shuffled training batches of every epoch.
+
+    Masks are drawn in the scan of the chunks and only the chosen positions go on; batches are orders of chunk ids. No epoch of the
+    token arrays is written or moved. Sums per chunk and epoch then meet the batch that the chunk lies in.
+    """
     rows = masking.repeat_epochs(train.select("chunk_id", "input_ids"), o.num_train_epochs)
-    batches = batching.batch_shuffled(rows, o.batch_size, o.random_seed)
-    masked = masking.mask_epochs(batches, width, probability=o.mlm_probability, seed=o.random_seed)
-    return materialize(masked, "train_batches")
+    masked = masking.mask_epochs(rows, width, probability=o.mlm_probability, seed=o.random_seed)
+    scored = metrics.row_losses(ngram.score_masked(masked, model, ["epoch", "chunk_id"]), ["epoch", "chunk_id"])
+    orders = masking.repeat_epochs(train.select("chunk_id"), o.num_train_epochs)
+    batches = batching.batch_shuffled(orders, o.batch_size, o.random_seed)
+    return metrics.losses_of_rows(scored, batches, ["epoch", "chunk_id"], ["epoch"])
 
 
 def masked_losses(batches: DataFrame, model: ngram.MaskedModel, keys: list[str] | None = None) -> DataFrame:
@@ -80,19 +102,25 @@ def masked_losses(batches: DataFrame, model: ngram.MaskedModel, keys: list[str]
     return metrics.batch_losses(scored, batches, keys)
 
 
-def causal_losses(batches: DataFrame, model: ngram.CausalModel, keys: list[str] | None = None) -> DataFrame:
-    scored = ngram.score_causal(batches, model, [*(keys or []), "batch_id"])
-    return metrics.batch_losses(scored, batches, keys)
+def score_causal_rows(rows: DataFrame, model: ngram.CausalModel | ngram.TrigramModel, keys: list[str]) -> DataFrame:
+    score = ngram.score_trigram if isinstance(model, ngram.TrigramModel) else ngram.score_causal
+    return score(rows, model, keys)
+
+
+def causal_losses(
+    batches: DataFrame, model: ngram.CausalModel | ngram.TrigramModel, keys: list[str] | None = None
+) -> DataFrame:
+    return metrics.batch_losses(score_causal_rows(batches, model, [*(keys or []), "batch_id"]), batches, keys)
 
 
 def masked_flow(corpus: DataFrame, o: MaskedOptions = MaskedOptions()) -> dict[str, DataFrame | ngram.MaskedModel]:
     """Corpus (row_ord, text) to vocabulary, model, losses and perplexity."""
     words = make_vocab(corpus, o.vocab_size)
     width = vocab_width(words)
-    chunks = make_chunks(corpus, words, o.chunk_size)
+    chunks = make_chunks(encode_ids(corpus, words), o.chunk_size)
     split = splitting.split_exact(chunks, o.train_size, o.test_size, o.random_seed)
     model = ngram.fit_masked(split_side(split, "train"), width)
-    train = masked_losses(train_batches(split_side(split, "train"), width, o), model, ["epoch"])
+    train = epoch_losses(split_side(split, "train"), model, width, o)
     evaluated = masked_losses(eval_batches(split_side(split, "test"), width, o), model)
     return {
         "vocab": words,
@@ -104,36 +132,54 @@ def masked_flow(corpus: DataFrame, o: MaskedOptions = MaskedOptions()) -> dict[s
     }
 
 
-def make_chat_rows(pairs: DataFrame, words: DataFrame, length: int) -> DataFrame:
-    """Pairs (row_ord, inputs, targets) to packed rows of ``length`` tokens."""
-    text = chat_format_pairs(pairs).select("row_ord", "text")
-    ids = encode_ids(text, words, add_special=False, pattern=vocab.CHAT_WORDS)
+def chat_texts(pairs: DataFrame, o: CausalOptions, keep: list[str]) -> DataFrame:
+    """Pairs to ``keep`` and the chosen text field as ``text``: the formatted conversation, or a column that is there already."""
+    formatted = pairs if o.text_field in pairs.columns else chat_format_pairs(pairs, o.input_column, o.output_column)
+    return choose_text(formatted, o.text_field, keep)
+
+
+def make_chat_rows(texts: DataFrame, words: DataFrame, length: int) -> DataFrame:
+    """Chat texts (row_ord, text) to packed rows of ``length`` tokens."""
+    ids = encode_ids(texts, words, add_special=False, pattern=vocab.CHAT_WORDS)
     tokens = materialize(ids.withColumn("n_tokens", F.size("input_ids")), "chat_tokens")
     end_id = len(vocab.SPECIALS) + vocab.CHAT_SPECIALS.index("<|im_end|>")
     return packing.pack_causal(tokens, end_id, length)
 
 
-def make_chat_vocab(pairs: DataFrame, size: int) -> DataFrame:
-    return make_vocab(
-        chat_format_pairs(pairs).select("text"),
-        size,
-        specials=vocab.SPECIALS + vocab.CHAT_SPECIALS,
-        pattern=vocab.CHAT_WORDS,
-    )
+def make_chat_vocab(texts: DataFrame, size: int | None) -> DataFrame:
+    specials = vocab.SPECIALS + vocab.CHAT_SPECIALS
+    return make_vocab(texts.select("text"), size, specials=specials, pattern=vocab.CHAT_WORDS)
+
+
+def fit_order(rows: DataFrame, width: int, order: int) -> ngram.CausalModel | ngram.TrigramModel:
+    if order not in (2, 3):
+        raise ValueError(f"order is {order}; 2 and 3 can be fitted")
+    return ngram.fit_causal(rows, width) if order == 2 else ngram.fit_trigram(rows, width)
+
+
+def training_log(rows: DataFrame, model: ngram.CausalModel | ngram.TrigramModel, o: CausalOptions) -> DataFrame:
+    """(step, mean_loss) of the shuffled training batches of all epochs. A row's loss is the same in every epoch and worked out once."""
+    scored = metrics.row_losses(score_causal_rows(rows, model, ["chunk_id"]), ["chunk_id"])
+    orders = masking.repeat_epochs(rows.select("chunk_id"), o.num_train_epochs)
+    batches = batching.batch_shuffled(orders, o.per_device_train_batch_size, o.random_seed)
+    losses = metrics.losses_of_rows(scored, batches, ["chunk_id"], ["epoch"])
+    return metrics.update_log(materialize(losses, "causal_losses"), o.gradient_accumulation, o.logging_steps)
 
 
 def causal_flow(train: DataFrame, evaluation: DataFrame, o: CausalOptions = CausalOptions()) -> dict:
-    """Pairs with dense ``row_ord`` to vocabulary, packed rows, model, evaluation losses and perplexity."""
-    words = make_chat_vocab(train, o.vocab_size)
-    rows = materialize(make_chat_rows(train, words, o.max_seq_length), "packed")
-    model = ngram.fit_causal(rows, vocab_width(words))
-    tested = make_chat_rows(evaluation, words, o.max_seq_length).select("chunk_id", "input_ids")
+    """Pairs with dense ``row_ord`` to vocabulary, packed rows, model, training log, evaluation losses and perplexity."""
+    texts = chat_texts(train, o, ["row_ord"])
+    words = make_chat_vocab(texts, o.vocab_size)
+    rows = materialize(make_chat_rows(texts, words, o.max_seq_length), "packed")
+    model = fit_order(rows, vocab_width(words), o.order)
+    tested = make_chat_rows(chat_texts(evaluation, o, ["row_ord"]), words, o.max_seq_length).select("chunk_id", "input_ids")
     batches = batching.batch_sequential(tested, o.per_device_train_batch_size, "chunk_id")
     losses = causal_losses(materialize(batches, "packed_eval"), model)
     return {
         "vocab": words,
         "rows": rows,
         "model": model,
+        "train_log": training_log(rows, model, o),
         "eval_losses": losses,
         "perplexity": metrics.perplexity_weighted(losses),
     }

@@ -163,6 +163,40 @@ CTES: dict[str, str] = {
     "train_positions": _neighbours("train_masked", "epoch, batch_id", "epoch, chunk_id", "label <> -100"),
     "train_scored": MASKED_NLL.format(k=K, positions="train_positions"),
     "train_losses": _losses("train_scored", "train_batches", "epoch, batch_id"),
+    # Back-off model: occurrences at order 3, distinct left contexts below it.
+    "tri_n": """
+        SELECT coalesce(u, -1) AS u, h, w, count(*) AS n FROM (
+            SELECT lag(id, 2) OVER s AS u, lag(id) OVER s AS h, id AS w FROM train_pos
+            WINDOW s AS (PARTITION BY chunk_id ORDER BY p))
+        WHERE h IS NOT NULL GROUP BY ALL""",
+    "pair_n": "SELECT h, w, count(*) AS n FROM tri_n GROUP BY ALL",
+    "token_n": "SELECT w, count(*) AS n FROM pair_n GROUP BY ALL",
+    "wide_n": "SELECT u, h, sum(n)::BIGINT AS n, count(*) AS kinds FROM tri_n GROUP BY ALL",
+    "narrow_n": "SELECT h, sum(n)::BIGINT AS n, count(*) AS kinds FROM pair_n GROUP BY ALL",
+    "levels": """
+        SELECT 3 AS level, n FROM tri_n UNION ALL SELECT 2, n FROM pair_n UNION ALL SELECT 1, n FROM token_n""",
+    "discount_n": """
+        SELECT level, CASE WHEN n1 = 0 THEN 0.5 ELSE n1 / (n1 + 2 * n2)::DOUBLE END AS d, n, kinds FROM (
+            SELECT level, count(*) FILTER (n = 1) AS n1, count(*) FILTER (n = 2) AS n2, sum(n)::BIGINT AS n, count(*) AS kinds
+            FROM levels GROUP BY level)""",
+    "asked_tri": """
+        SELECT batch_id, u, h, w FROM (
+            SELECT batch_id, coalesce(lag(id, 2) OVER s, -1) AS u, lag(id) OVER s AS h, id AS w
+            FROM test_pos JOIN eval_batches USING (chunk_id) WINDOW s AS (PARTITION BY chunk_id ORDER BY p))
+        WHERE h IS NOT NULL""",
+    "tri_p1": """
+        SELECT q.*, greatest(coalesce(t.n, 0) - d.d, 0) / d.n + d.d * d.kinds / d.n / (SELECT count(*) FROM vocab) AS p1
+        FROM asked_tri q LEFT JOIN token_n t USING (w) CROSS JOIN (SELECT * FROM discount_n WHERE level = 1) d""",
+    "tri_p2": """
+        SELECT q.*, CASE WHEN c.n IS NULL THEN p1 ELSE greatest(coalesce(t.n, 0) - d.d, 0) / c.n + d.d * c.kinds / c.n * p1 END AS p2
+        FROM tri_p1 q LEFT JOIN pair_n t USING (h, w) LEFT JOIN narrow_n c USING (h)
+        CROSS JOIN (SELECT * FROM discount_n WHERE level = 2) d""",
+    "tri_scored": """
+        SELECT q.batch_id, -ln(CASE WHEN c.n IS NULL THEN p2
+            ELSE greatest(coalesce(t.n, 0) - d.d, 0) / c.n + d.d * c.kinds / c.n * p2 END) AS nll
+        FROM tri_p2 q LEFT JOIN tri_n t USING (u, h, w) LEFT JOIN wide_n c USING (u, h)
+        CROSS JOIN (SELECT * FROM discount_n WHERE level = 3) d""",
+    "tri_losses": _losses("tri_scored", "eval_batches"),
     # Chat
     "turns": NEXT_TURN,
     "pairs": """
@@ -249,7 +283,7 @@ SUBWORD = f"""
     piece_vocab AS MATERIALIZED ({_vocab(
         "SELECT token, sum(freq)::BIGINT AS freq FROM ("
         " SELECT CASE WHEN a > 1 THEN '##' ELSE '' END || substr(token, a::INT, k::INT) AS token, freq FROM ("
-        "  SELECT token, freq, a, unnest(range(1, least(4, length(token) - a + 1) + 1)) AS k FROM ("
+        "  SELECT token, freq, a, unnest(range(1, length(token) - a + 2)) AS k FROM ("
         "   SELECT token, freq, unnest(range(1, length(token) + 1)) AS a FROM counts WHERE length(token) <= 100)))"
         " GROUP BY token",
         PIECES_SIZE, SPECIALS)}),
@@ -259,10 +293,9 @@ SUBWORD = f"""
         SELECT token, coalesce(pos0 + k, 0), step + 1, pid, k IS NULL FROM (
             SELECT w.token, w.pos0, w.step, arg_max(v.id, g.k) FILTER (v.id IS NOT NULL) AS pid,
                 max(g.k) FILTER (v.id IS NOT NULL) AS k
-            FROM walk w CROSS JOIN (SELECT unnest(range(1, 7)) AS k) g
+            FROM walk w JOIN (SELECT unnest(range(1, 101)) AS k) g ON w.pos0 + g.k - 1 <= length(w.token)
             LEFT JOIN piece_vocab v ON v.token =
                 CASE WHEN w.pos0 > 1 THEN '##' ELSE '' END || substr(w.token, w.pos0::INT, g.k::INT)
-                AND w.pos0 + g.k - 1 <= length(w.token)
             WHERE NOT w.failed AND w.pos0 <= length(w.token)
             GROUP BY w.token, w.pos0, w.step)),
     word_ids AS MATERIALIZED (
@@ -290,6 +323,7 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL
         SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1, text, 'txt' FROM (
             SELECT doc_id, line_no, {stripped} AS text FROM ({lines})) WHERE length(text) >= 5""")
+    q["quoted_csv_splits"] = _with("SELECT row_ord, text FROM corpus")
     q["eval_text_scan"] = f"""
         SELECT row_number() OVER (ORDER BY item_id, n) - 1 AS row_ord, text FROM (
             SELECT item_id, unnest(s) AS text, generate_subscripts(s, 1) AS n FROM (
@@ -389,6 +423,15 @@ def oracle_sql() -> dict[str, str]:
     q["causal_fit"] = _with("""
         SELECT h, w, n FROM bigrams
         UNION ALL SELECT h, NULL, sum(n)::BIGINT FROM bigrams GROUP BY h""")
+    blank = "NULL::INT AS u, NULL::INT AS h, NULL::INT AS w"
+    q["trigram_fit"] = _with(f"""
+        SELECT 'trigrams' AS table_name, u, h, w, n, NULL::BIGINT AS kinds, NULL::INT AS "order", NULL::DOUBLE AS discount FROM tri_n
+        UNION ALL SELECT 'wide', u, h, NULL, n, kinds, NULL, NULL FROM wide_n
+        UNION ALL SELECT 'pairs', NULL, h, w, n, NULL, NULL, NULL FROM pair_n
+        UNION ALL SELECT 'narrow', NULL, h, NULL, n, kinds, NULL, NULL FROM narrow_n
+        UNION ALL SELECT 'tokens', NULL, NULL, w, n, NULL, NULL, NULL FROM token_n
+        UNION ALL SELECT 'discounts', {blank}, n, kinds, level, round(d, 9) FROM discount_n""")
+    q["trigram_score"] = _with("SELECT batch_id, n_rows, n_pred, round(loss, 6) AS loss FROM tri_losses")
     q["masked_fit"] = _with("""
         SELECT l, c, r, sum(n)::BIGINT AS n, CASE grouping(l, c, r) WHEN 0 THEN 'both' WHEN 2 THEN 'sides' WHEN 1 THEN 'left'
             WHEN 4 THEN 'right' ELSE 'unigrams' END AS table_name
@@ -435,6 +478,48 @@ def oracle_sql() -> dict[str, str]:
         chat_pairs="""SELECT * FROM (SELECT chunk_id, lag(id) OVER (PARTITION BY chunk_id ORDER BY p) AS h, id AS w
             FROM packed) WHERE h IS NOT NULL""",
     )
+    chat_pairs = """SELECT * FROM (SELECT chunk_id, lag(id) OVER (PARTITION BY chunk_id ORDER BY p) AS h, id AS w
+        FROM packed) WHERE h IS NOT NULL"""
+    q["chat_training_log"] = _with(f"""
+        SELECT step::BIGINT AS step, round(avg(loss), 6) AS mean_loss FROM (
+            SELECT ((u + up) // 4 + 1) * 4 AS step, loss, total FROM (
+                SELECT epoch, batch_id // 3 AS u, sum(s) / sum(n) AS loss FROM log_rows GROUP BY epoch, batch_id)
+            JOIN (SELECT epoch, coalesce(sum(updates) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS up,
+                    sum(updates) OVER () AS total
+                FROM (SELECT epoch, max(batch_id) // 3 + 1 AS updates FROM log_rows GROUP BY epoch)) USING (epoch))
+        WHERE step <= total GROUP BY step""",
+        log_rows="""
+            SELECT epoch, (row_number() OVER (PARTITION BY epoch ORDER BY md5('42:' || epoch || ':' || chunk_id), chunk_id) - 1) // 2 AS batch_id, s, n
+            FROM chat_rows_nll CROSS JOIN (VALUES (0), (1)) e(epoch)""",
+        chat_rows_nll=f"""
+            SELECT chunk_id, sum(-ln((b.n + {K}) / (c.n + {K} * (SELECT count(*) FROM chat_vocab)))) AS s, count(*) AS n
+            FROM chat_pairs JOIN (SELECT h, w, count(*) AS n FROM chat_pairs GROUP BY h, w) b USING (h, w)
+            JOIN (SELECT h, count(*) AS n FROM chat_pairs GROUP BY h) c USING (h) GROUP BY chunk_id""",
+        chat_pairs=chat_pairs,
+    )
+    q["masked_flow"] = _with("""
+        SELECT epoch, round(avg(loss), 6) AS train_loss, (SELECT count(*) FROM chunk_ids) AS n_chunks,
+            (SELECT round(exp(sum(loss * n_rows) / sum(n_rows)), 4) FROM eval_losses) AS perplexity
+        FROM train_losses GROUP BY epoch""")
+    q["filter_audit_observed"] = f"""
+        SELECT 'csv' AS kind, count(*) AS n_before, count(*) FILTER ({KEEP}) AS n_after, count(*) FILTER ({KEEP}) AS n_written FROM documents
+        UNION ALL SELECT 'lines', count(*), count(*) FILTER (length({stripped}) >= 5), count(*) FILTER (length({stripped}) >= 5) FROM ({lines})"""
+    test_pairs = """
+        SELECT h, w, count(*) AS n FROM (
+            SELECT lag(id) OVER (PARTITION BY chunk_id ORDER BY p) AS h, id AS w FROM test_pos)
+        WHERE h IS NOT NULL GROUP BY h, w"""
+    sized = "count(*) AS n_rows, sum(n)::BIGINT AS total"
+    q["model_epochs"] = _with(f"""
+        SELECT 0 AS epoch, 'bigrams' AS table_name, {sized} FROM test_bigrams
+        UNION ALL SELECT 0, 'contexts', {sized} FROM (SELECT sum(n) AS n FROM test_bigrams GROUP BY h)
+        UNION ALL SELECT 1, 'trigrams', {sized} FROM tri_n
+        UNION ALL SELECT 1, 'wide', {sized} FROM wide_n
+        UNION ALL SELECT 1, 'pairs', {sized} FROM pair_n
+        UNION ALL SELECT 1, 'narrow', {sized} FROM narrow_n
+        UNION ALL SELECT 1, 'tokens', {sized} FROM token_n
+        UNION ALL SELECT 1, 'discounts', {sized} FROM discount_n""",
+        test_bigrams=test_pairs,
+    )
     sets = {"both": "l, c, r", "sides": "l, r", "left": "l, c", "right": "c, r", "unigrams": "c"}
     parts = [
         f"SELECT '{name}' AS table_name, count(*) AS n_rows, sum(n)::BIGINT AS total FROM (SELECT sum(n) AS n FROM both_n GROUP BY {by})"

@@ -5,6 +5,8 @@ Array results are cast to text and doubles rounded, so that they compare with SQ
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,7 @@ PIECES_SIZE = 4_000
 CHAT_SIZE = 4_000
 OPTIONS = flows.MaskedOptions(vocab_size=WORDS_SIZE)
 CAUSAL_LENGTH = 256
+CAUSAL = flows.CausalOptions(vocab_size=CHAT_SIZE, max_seq_length=CAUSAL_LENGTH)
 FIXED_LENGTH = 512
 EVAL_BATCH = 16
 WORKERS = 4
@@ -51,9 +54,13 @@ def _words(spark: SparkSession, sf: str) -> DataFrame:
     return flows.make_vocab(_docs(spark, sf), WORDS_SIZE)
 
 
+def _encoded(spark: SparkSession, sf: str, words: DataFrame) -> DataFrame:
+    return flows.encoded_rows(spread(_docs(spark, sf)), words, "doc_id")
+
+
 def _chunks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     words = _words(spark, sf)
-    return flows.make_chunks(_corpus(spark, sf), words, OPTIONS.chunk_size), words
+    return flows.make_chunks(_encoded(spark, sf, words), OPTIONS.chunk_size), words
 
 
 def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
@@ -108,6 +115,16 @@ def filter_audit_lines(spark: SparkSession, sf: str) -> DataFrame:
     return filters.filter_audit(_lines(spark, sf), lines=True)
 
 
+def filter_audit_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of both filters, taken while their results are written, and the rows that were written."""
+    rows = []
+    for kind, table in (("csv", _table(spark, sf, "documents", "text")), ("lines", _lines(spark, sf))):
+        kept, seen = filters.observed_filter(table, lines=kind == "lines")
+        written = materialize(kept, "filtered").count()
+        rows.append((kind, seen.get["n_before"], seen.get["n_after"], written))
+    return spark.createDataFrame(rows, "kind string, n_before bigint, n_after bigint, n_written bigint")
+
+
 def _written_in_order(df: DataFrame, order: str, path: str, writer: str, **options) -> str:
     """Write rows so that file order is the given order."""
     ordered = df.repartitionByRange(order).sortWithinPartitions(order)
@@ -125,6 +142,13 @@ def source_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     return from_csv.unionByName(from_txt)
 
 
+def quoted_csv_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents written as CSV with their line breaks quoted, and read back by splits."""
+    docs = _table(spark, sf, "documents", "doc_id", "text", "lang")
+    csv = _written_in_order(docs, "doc_id", scratch_path(spark, "docs") + ".csv", "csv", header=True, quoteAll=True, escape='"')
+    return readers.read_corpus(spark, csv, "text", multi_line=readers.SPLITS)
+
+
 def eval_text_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Evaluation passages written as lines and scanned without any filter."""
     items = _table(spark, sf, "benchmark", "item_id", "text")
@@ -187,15 +211,15 @@ def vocab_build(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encode_words(spark: SparkSession, sf: str) -> DataFrame:
-    rows = encode(_corpus(spark, sf), _words(spark, sf))
+    rows = with_masks(_encoded(spark, sf, _words(spark, sf)))
     return _as_text(rows, "input_ids", "token_type_ids", "attention_mask")
 
 
 def subword_encode(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf)
     counts = materialize(vocab.token_counts(spread(docs)), "word_counts")
-    pieces = vocab.most_frequent(vocab.piece_counts(counts), PIECES_SIZE - len(vocab.SPECIALS))
-    pieces = materialize(vocab.number_tokens(pieces), "pieces")
+    size = PIECES_SIZE - len(vocab.SPECIALS)
+    pieces = materialize(vocab.number_tokens(vocab.frequent_pieces(counts, size), size), "pieces")
     return _as_text(encode_subword(spread(docs), pieces, counts=counts).select("doc_id", "input_ids"), "input_ids")
 
 
@@ -215,13 +239,13 @@ def pad_to_longest_in_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunk_tokens_query(spark: SparkSession, sf: str) -> DataFrame:
-    rows = chunk_tokens(encode(_corpus(spark, sf), _words(spark, sf)), OPTIONS.chunk_size)
+    rows = chunk_tokens(_encoded(spark, sf, _words(spark, sf)), OPTIONS.chunk_size)
     return _as_text(rows, "input_ids", "token_type_ids", "attention_mask", "labels")
 
 
 def pack_causal(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
-    rows = flows.make_chat_rows(pairs, flows.make_chat_vocab(pairs, CHAT_SIZE), CAUSAL_LENGTH)
+    texts = flows.chat_texts(_pairs(spark, sf), CAUSAL, ["row_ord"])
+    rows = flows.make_chat_rows(texts, flows.make_chat_vocab(texts, CHAT_SIZE), CAUSAL_LENGTH)
     return _as_text(rows.select("chunk_id", "input_ids", "labels"), "input_ids", "labels")
 
 
@@ -293,6 +317,18 @@ def causal_fit(spark: SparkSession, sf: str) -> DataFrame:
     return model.bigrams.unionByName(model.contexts.withColumn("w", F.lit(None).cast("int")))
 
 
+def trigram_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of the back-off model in one: counts, left contexts, context totals and discounts."""
+    train, _, width = _split(spark, sf)
+    tables = ngram.fit_trigram(train, width).tables()
+    tables["discounts"] = _rounded(tables["discounts"], "discount", 9)
+    named = [t.withColumn("table_name", F.lit(name)) for name, t in tables.items()]
+    rows = named[0]
+    for table in named[1:]:
+        rows = rows.unionByName(table, allowMissingColumns=True)
+    return rows
+
+
 def masked_fit(spark: SparkSession, sf: str) -> DataFrame:
     train, _, width = _split(spark, sf)
     tables = ngram.fit_masked(train, width).tables()
@@ -310,6 +346,13 @@ def causal_score(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(flows.causal_losses(batches, ngram.fit_causal(train, width)), "loss")
 
 
+def trigram_score(spark: SparkSession, sf: str) -> DataFrame:
+    train, test, width = _split(spark, sf)
+    batches = batching.batch_in_split_order(test.select("chunk_id", "input_ids"), OPTIONS.batch_size)
+    batches = materialize(batches, "causal_eval")
+    return _rounded(flows.causal_losses(batches, ngram.fit_trigram(train, width)), "loss")
+
+
 def _eval_losses(train: DataFrame, test: DataFrame, width: int) -> DataFrame:
     return flows.masked_losses(flows.eval_batches(test, width, OPTIONS), ngram.fit_masked(train, width))
 
@@ -351,8 +394,7 @@ def perplexity_unweighted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train_losses(train: DataFrame, width: int) -> DataFrame:
-    model = ngram.fit_masked(train, width)
-    return materialize(flows.masked_losses(flows.train_batches(train, width, OPTIONS), model, ["epoch"]), "losses")
+    return materialize(flows.epoch_losses(train, ngram.fit_masked(train, width), width, OPTIONS), "losses")
 
 
 def running_loss(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,8 +418,23 @@ def phase_loss(spark: SparkSession, sf: str) -> DataFrame:
 def chat_perplexity(spark: SparkSession, sf: str) -> DataFrame:
     """The causal flow on conversation pairs, evaluated on its own training set as the default path does."""
     pairs = _pairs(spark, sf)
-    result = flows.causal_flow(pairs, pairs, flows.CausalOptions(vocab_size=CHAT_SIZE))
-    return _rounded(result["perplexity"], "perplexity", 4)
+    return _rounded(flows.causal_flow(pairs, pairs, CAUSAL)["perplexity"], "perplexity", 4)
+
+
+def chat_training_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean loss of the updates since the entry before, through all epochs of the causal flow. The pairs come with other column names."""
+    pairs = _pairs(spark, sf).withColumnsRenamed({"inputs": "question", "targets": "answer"})
+    options = replace(CAUSAL, input_column="question", output_column="answer", num_train_epochs=2, gradient_accumulation=3, logging_steps=4)
+    return _rounded(flows.causal_flow(pairs, pairs, options)["train_log"], "mean_loss")
+
+
+def masked_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole masked flow on the documents: chunks, loss of every training epoch, perplexity of the held-out side."""
+    result = flows.masked_flow(_corpus(spark, sf), OPTIONS)
+    chunks = result["chunks"].agg(F.count(F.lit(1)).alias("n_chunks"))
+    losses = _rounded(metrics.epoch_loss(result["train_losses"]), "train_loss")
+    perplexity = _rounded(result["perplexity"], "perplexity", 4)
+    return losses.withColumns({"n_chunks": chunks.scalar(), "perplexity": perplexity.scalar()})
 
 
 # -- user functions ----------------------------------------------------------------------------
@@ -438,6 +495,27 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+def model_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of the models of two epochs saved to one path, the second of which was saved twice."""
+    train, test, width = _split(spark, sf)
+    words = _words(spark, sf)
+    path = scratch_path(spark, "checkpoints")
+    early, late = ngram.fit_causal(test, width), ngram.fit_trigram(train, width)
+    for epoch, model in ((0, early), (1, early), (1, late)):
+        writers.save_model(model, words, path, epoch)
+    # Loaded and saved again to where it lies.
+    writers.save_model(*writers.load_model(spark, path, 0), path, 0)
+    writers.drop_old_versions(spark, path)
+    rows = None
+    for epoch in (0, 1):
+        model, _ = writers.load_model(spark, path, epoch)
+        for name, table in model.tables().items():
+            part = table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("total"))
+            part = part.select(F.lit(epoch).alias("epoch"), F.lit(name).alias("table_name"), "n_rows", "total")
+            rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 def metrics_log(spark: SparkSession, sf: str) -> DataFrame:
     """Arguments and evaluation losses of a run, read back from its log."""
     path = scratch_path(spark, "log")
@@ -471,7 +549,9 @@ QUERIES = {
     "text_line_filter": text_line_filter,
     "filter_audit": filter_audit,
     "filter_audit_lines": filter_audit_lines,
+    "filter_audit_observed": filter_audit_observed,
     "source_dispatch": source_dispatch,
+    "quoted_csv_splits": quoted_csv_splits,
     "eval_text_scan": eval_text_scan,
     "pair_scan": pair_scan,
     "pair_scan_head": pair_scan_head,
@@ -496,8 +576,10 @@ QUERIES = {
     "batch_shards": batch_shards,
     "step_budget": step_budget,
     "causal_fit": causal_fit,
+    "trigram_fit": trigram_fit,
     "masked_fit": masked_fit,
     "causal_score": causal_score,
+    "trigram_score": trigram_score,
     "masked_score": masked_score,
     "all_position_score": all_position_score,
     "perplexity_weighted": perplexity_weighted,
@@ -507,9 +589,12 @@ QUERIES = {
     "epoch_loss": epoch_loss,
     "phase_loss": phase_loss,
     "chat_perplexity": chat_perplexity,
+    "chat_training_log": chat_training_log,
+    "masked_flow": masked_flow,
     "map_windows": map_windows,
     "collate_batches": collate_batches,
     "model_roundtrip": model_roundtrip,
+    "model_epochs": model_epochs,
     "metrics_log": metrics_log,
     "flagship": flagship,
 }

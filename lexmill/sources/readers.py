@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexmill.functions.columns import na_to_null
-from lexmill.functions.lookup import MAX_ENTRIES
 from lexmill.operators.filters import csv_text_filter, drop_incomplete, text_line_filter
 from lexmill.operators.ordinal import file_ordinal
+from lexmill.sources import quoted
+
+#: Value of ``multi_line`` for large CSV files with quoted line breaks.
+SPLITS = "splits"
 
 
 def _with_place(scan: DataFrame, *columns: Column) -> DataFrame:
@@ -32,25 +35,35 @@ def scan_lines(spark: SparkSession, path: str | list[str], strict_utf8: bool = F
     return _with_place(spark.read.text(path), _decoded(F.col("value"), strict_utf8).alias("text"))
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], columns: dict[str, str], multi_line: bool = True) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, path: str | list[str], columns: dict[str, str], multi_line: bool | str = True
+) -> DataFrame:
     """The chosen columns (name in the file to name in the result) as text, missing cells as null.
 
-    Quoted line breaks need ``multi_line``, which reads each file in one task; pass False for large
-    files whose cells hold no line break.
+    ``multi_line`` says what may hold a line break: True reads each file in one task, which suits any file; ``SPLITS`` reads
+    large files with quoted line breaks in many tasks (see :mod:`lexmill.sources.quoted` for what it expects); False
+    is for files whose cells hold no line break.
     """
-    table = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"')
+    table = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line is True, quote='"', escape='"')
     absent = [c for c in columns if c not in table.columns]
     if absent:
         raise ValueError(f"no column {absent} in {path}; columns are {table.columns}")
+    if multi_line == SPLITS:
+        rows = quoted.scan_quoted(spark, path, table.columns, columns)
+        return rows.withColumns({name: na_to_null(F.make_valid_utf8(name)) for name in columns.values()})
     return _with_place(table, *[na_to_null(F.col(f"`{c}`")).alias(name) for c, name in columns.items()])
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    return quoted.record_ordinal(rows) if "_no" in rows.columns else file_ordinal(rows)
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
     target_column: str | None = None,
     strict_utf8: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """(row_ord, text) of a `.csv` or `.txt` path, filtered, numbered in file order."""
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
@@ -66,7 +79,7 @@ def read_corpus(
         rows = text_line_filter(scan_lines(spark, path, strict_utf8))
     else:
         raise ValueError(f"{path}: only .csv and .txt can be read")
-    return file_ordinal(rows).select("row_ord", "text")
+    return _numbered(rows).select("row_ord", "text")
 
 
 def read_eval_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -95,14 +108,15 @@ def read_pairs(
     source: str = "inputs",
     target: str = "targets",
     head: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """(row_ord, inputs, targets): the complete rows, or those of the first ``head`` rows."""
     columns = {source: "inputs", target: "targets"}
     if head is None:
-        rows = file_ordinal(scan_csv(spark, path, columns, multi_line))
+        rows = _numbered(scan_csv(spark, path, columns, multi_line))
     else:
-        rows = _head(spark, path, columns, head, multi_line)
+        # The first rows are few, so whole files are opened for them.
+        rows = _head(spark, path, columns, head, multi_line is not False)
     return drop_incomplete(rows.select("row_ord", "inputs", "targets"), ["inputs", "targets"])
 
 
@@ -121,6 +135,4 @@ def read_pair_splits(spark: SparkSession, path: str, eval_path: str | None = Non
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """(token, id, freq) from a file of one token per line; the id is the line number from 0."""
     lines = file_ordinal(scan_lines(spark, path))
-    if lines.limit(MAX_ENTRIES + 1).count() > MAX_ENTRIES:
-        raise ValueError(f"{path} holds more than {MAX_ENTRIES} tokens")
     return lines.select(F.col("text").alias("token"), F.col("row_ord").cast("int").alias("id"), F.lit(0).cast("bigint").alias("freq"))

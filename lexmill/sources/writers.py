@@ -2,53 +2,80 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators.ngram import CausalModel, MaskedModel
+from lexmill.operators.ngram import CausalModel, MaskedModel, TrigramModel
 
-MODELS = {"causal": CausalModel, "masked": MaskedModel}
+Model = CausalModel | MaskedModel | TrigramModel
+MODELS = {"causal": CausalModel, "masked": MaskedModel, "trigram": TrigramModel}
+TABLES = {
+    "causal": ("bigrams", "contexts"),
+    "masked": ("both", "sides", "left", "right", "unigrams"),
+    "trigram": ("trigrams", "wide", "pairs", "narrow", "tokens", "discounts"),
+}
 LOG_SCHEMA = "run_id string, kind string, epoch int, name string, value double, text string"
+PARAMS_SCHEMA = "kind string, vocab_size int, k double, weights array<double>"
+SAVES_SCHEMA = "no bigint, epoch int, version string"
 
 
-def save_model(model: CausalModel | MaskedModel, vocab: DataFrame, path: str, epoch: int | None = None) -> None:
-    """Write the count tables, the parameters and the vocabulary; a second save replaces the first.
+def save_model(model: Model, vocab: DataFrame, path: str, epoch: int | None = None) -> None:
+    """Write the count tables, the parameters and the vocabulary; a later save takes the place of an earlier one.
 
-    With ``epoch`` each table is partitioned by epoch and only that epoch is replaced.
+    Every save is a folder of its own under ``versions``. The row in ``saves`` that names it is written last: until then, and if
+    anything fails before, a reader gets the model saved before, and what was loaded stays readable (also while it is
+    saved again to the same path). With ``epoch`` the save stands for that epoch only; other epochs stay.
     """
     spark = vocab.sparkSession
     kind = next(k for k, cls in MODELS.items() if isinstance(model, cls))
     weights = [float(w) for w in getattr(model, "weights", ())]
-    params = spark.createDataFrame(
-        [(kind, model.vocab_size, float(model.k), weights)],
-        "kind string, vocab_size int, k double, weights array<double>",
-    )
+    params = spark.createDataFrame([(kind, model.vocab_size, float(model.k), weights)], PARAMS_SCHEMA)
+    version = uuid.uuid4().hex
     for name, table in {**model.tables(), "params": params, "vocab": vocab}.items():
-        _overwrite(table, f"{path}/{name}", {} if epoch is None else {"epoch": epoch})
+        table.write.parquet(f"{path}/versions/{version}/{name}")
+    last = saves(spark, path).agg(F.max("no")).first()[0]
+    _point(spark, path, (0 if last is None else last + 1, epoch, version))
+
+
+def _point(spark: SparkSession, path: str, save: tuple) -> None:
+    spark.createDataFrame([save], SAVES_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/saves")
 
 
-def _overwrite(table: DataFrame, path: str, partition: dict) -> None:
-    writer = table.withColumns({k: F.lit(v) for k, v in partition.items()}) if partition else table
-    out = writer.write.mode("overwrite")
-    if partition:
-        out = out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
-    out.parquet(path)
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _read(spark: SparkSession, path: str, epoch: int | None) -> DataFrame:
-    table = spark.read.parquet(path)
-    return table if epoch is None else table.filter(F.col("epoch") == epoch).drop("epoch")
+def saves(spark: SparkSession, path: str) -> DataFrame:
+    """(no, epoch, version) of every save that ended, in the order of ``no``."""
+    store, folder = _folder(spark, f"{path}/saves")
+    return spark.read.schema(SAVES_SCHEMA).parquet(f"{path}/saves") if store.exists(folder) else spark.createDataFrame([], SAVES_SCHEMA)
 
 
-def load_model(spark: SparkSession, path: str, epoch: int | None = None) -> tuple[CausalModel | MaskedModel, DataFrame]:
-    """The model and the vocabulary saved beside it."""
-    params = _read(spark, f"{path}/params", epoch).first()
-    cls = MODELS[params["kind"]]
-    names = {"causal": ("bigrams", "contexts"), "masked": ("both", "sides", "left", "right", "unigrams")}
-    tables = {name: _read(spark, f"{path}/{name}", epoch) for name in names[params["kind"]]}
+def load_model(spark: SparkSession, path: str, epoch: int | None = None) -> tuple[Model, DataFrame]:
+    """The model saved last (for ``epoch``, if given) and the vocabulary beside it."""
+    ended = saves(spark, path)
+    last = (ended if epoch is None else ended.filter(F.col("epoch") == epoch)).orderBy(F.desc("no")).first()
+    if last is None:
+        raise ValueError(f"no model in {path}" + (f" for epoch {epoch}" if epoch is not None else ""))
+    folder = f"{path}/versions/{last['version']}"
+    params = spark.read.parquet(f"{folder}/params").first()
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES[params["kind"]]}
     extra = {"weights": tuple(params["weights"])} if params["weights"] else {}
-    model = cls(**tables, vocab_size=params["vocab_size"], k=params["k"], **extra)
-    return model, _read(spark, f"{path}/vocab", epoch)
+    model = MODELS[params["kind"]](**tables, vocab_size=params["vocab_size"], k=params["k"], **extra)
+    return model, spark.read.parquet(f"{folder}/vocab")
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete the versions that no later load can ask for. Models loaded from them must not be in use any more."""
+    ended = [(r["no"], r["epoch"], r["version"]) for r in saves(spark, path).collect()]
+    newest = {epoch: max(no for no, e, _ in ended if e == epoch) for _, epoch, _ in ended}
+    for no, epoch, version in ended:
+        if no < newest[epoch]:
+            store, folder = _folder(spark, f"{path}/versions/{version}")
+            store.delete(folder, True)
 
 
 def start_run(spark: SparkSession, path: str, run_id: str, arguments: dict) -> None:

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -77,6 +78,34 @@ def test_causal_flow(spark):
     assert 1 < result["perplexity"].first()[0] < 30
 
 
+def test_every_causal_option_counts(spark):
+    made = pairs(spark)
+    small = flows.CausalOptions(max_seq_length=16, vocab_size=100)
+    base = flows.causal_flow(made, made, small)
+    n = base["rows"].count()
+    updates = -(-(-(-n // 2)) // 4)
+    assert [r["step"] for r in base["train_log"].orderBy("step").collect()] == list(range(5, 5 * updates + 1, 5))
+
+    def log(**changed):
+        return [(r["step"], round(r["mean_loss"], 9)) for r in flows.training_log(base["rows"], base["model"], replace(small, **changed)).orderBy("step").collect()]
+
+    plain = log()
+    assert [s for s, _ in log(num_train_epochs=2)] == list(range(5, 2 * updates + 1, 5))
+    assert [s for s, _ in log(logging_steps=7)] == list(range(7, 5 * updates + 1, 7))
+    assert len(log(gradient_accumulation=1)) == 5 * -(-n // 2) // 5
+    assert log(random_seed=1) != plain and log(per_device_train_batch_size=1) != plain
+    renamed = made.withColumnsRenamed({"inputs": "q", "targets": "a"})
+    other = flows.causal_flow(renamed, renamed, replace(small, input_column="q", output_column="a"))
+    assert other["perplexity"].first()[0] == pytest.approx(base["perplexity"].first()[0])
+    ready = chat.chat_format_pairs(made).select("row_ord", F.col("text").alias("chat"))
+    other = flows.causal_flow(ready, ready, replace(small, text_field="chat"))
+    assert other["perplexity"].first()[0] == pytest.approx(base["perplexity"].first()[0])
+    third = flows.causal_flow(made, made, replace(small, order=3))
+    assert isinstance(third["model"], ngram.TrigramModel) and third["perplexity"].first()[0] < base["perplexity"].first()[0]
+    with pytest.raises(ValueError, match="order"):
+        flows.causal_flow(made, made, replace(small, order=4))
+
+
 def test_masked_flow_end_to_end(spark):
     made = [(i, t) for i, t in enumerate(r["inputs"] + " " + r["targets"] for r in pairs(spark, 200).collect())]
     corpus = spark.createDataFrame(made, "row_ord bigint, text string")
@@ -85,7 +114,9 @@ def test_masked_flow_end_to_end(spark):
     n = result["chunks"].count()
     assert n == 200 * 12 // 8
     assert result["eval_losses"].agg(F.sum("n_rows")).first()[0] == 30
-    assert result["train_losses"].groupBy("epoch").agg(F.sum("n_rows")).collect()[0][1] == 270
+    trained = result["train_losses"].groupBy("epoch").agg(F.sum("n_rows").alias("n"), F.count("*").alias("batches"), F.sum("n_pred").alias("p"))
+    by_epoch = {r["epoch"]: r for r in trained.collect()}
+    assert all((r["n"], r["batches"]) == (270, 68) for r in by_epoch.values()) and by_epoch[0]["p"] != by_epoch[1]["p"]
     assert 1 < result["perplexity"].first()[0] < 50
 
     lines = spark.createDataFrame([(0, "red blue"), (1, ""), (2, "one two green")], "row_ord bigint, text string")
@@ -106,17 +137,56 @@ def vocab_frame(spark):
     return materialize(vocab.number_tokens(spark.createDataFrame([("a", 3), ("b", 2)], "token string, freq bigint")), "v")
 
 
-@pytest.mark.parametrize("fit", [ngram.fit_causal, ngram.fit_masked])
+FITS = [lambda rows: ngram.fit_causal(rows, 20, 0.5), lambda rows: ngram.fit_masked(rows, 20, 0.5), lambda rows: ngram.fit_trigram(rows, 20)]
+
+
+def same_tables(model, other):
+    for name, table in model.tables().items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, other.tables()[name].select(table.columns).collect()))
+
+
+@pytest.mark.parametrize("fit", FITS)
 def test_model_folder(spark, tmp_path, fit):
     path = str(tmp_path / "model")
-    for shift in (0, 3):  # the second save replaces the first
-        model = fit(chunk_frame(spark, shift), 20, 0.5)
+    for shift in (0, 3):  # the second save takes the place of the first
+        model = fit(chunk_frame(spark, shift))
         writers.save_model(model, vocab_frame(spark), path)
     loaded, words = writers.load_model(spark, path)
-    assert type(loaded) is type(model) and (loaded.vocab_size, loaded.k) == (20, 0.5)
+    assert type(loaded) is type(model) and (loaded.vocab_size, loaded.k) == (20, model.k)
     assert words.count() == 7
-    for name, table in model.tables().items():
-        assert sorted(table.collect()) == sorted(loaded.tables()[name].select(table.columns).collect())
+    same_tables(model, loaded)
+
+
+def test_a_model_is_saved_to_where_it_was_loaded_from(spark, tmp_path):
+    path = str(tmp_path / "model")
+    model = ngram.fit_masked(chunk_frame(spark, 0), 20)
+    writers.save_model(model, vocab_frame(spark), path)
+    loaded, words = writers.load_model(spark, path)
+    writers.save_model(loaded, words, path)
+    same_tables(model, loaded)
+    writers.drop_old_versions(spark, path)
+    same_tables(model, writers.load_model(spark, path)[0])
+    assert writers.saves(spark, path).count() == 2 and len(list((tmp_path / "model" / "versions").iterdir())) == 1
+
+
+def test_a_save_that_fails_leaves_the_model_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "model")
+    with pytest.raises(ValueError, match="no model"):
+        writers.load_model(spark, path)
+    model = ngram.fit_causal(chunk_frame(spark, 0), 20)
+    writers.save_model(model, vocab_frame(spark), path)
+
+    def fail(*_):
+        raise OSError("the driver is lost before the last row")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "_point", fail)
+        with pytest.raises(OSError):
+            writers.save_model(ngram.fit_causal(chunk_frame(spark, 3), 20), vocab_frame(spark), path)
+    broken = vocab_frame(spark).withColumn("id", F.raise_error(F.lit("a task fails")))
+    with pytest.raises(Exception, match="a task fails"):
+        writers.save_model(ngram.fit_causal(chunk_frame(spark, 3), 20), broken, path)
+    same_tables(model, writers.load_model(spark, path)[0])
 
 
 def test_model_folder_per_epoch(spark, tmp_path):
@@ -125,7 +195,9 @@ def test_model_folder_per_epoch(spark, tmp_path):
     for epoch in (0, 1):
         writers.save_model(models[epoch], vocab_frame(spark), path, epoch)
     writers.save_model(models[2], vocab_frame(spark), path, 1)
-    for epoch, want in ((0, models[0]), (1, models[2])):
+    with pytest.raises(ValueError, match="epoch 7"):
+        writers.load_model(spark, path, 7)
+    for epoch, want in ((0, models[0]), (1, models[2]), (None, models[2])):
         loaded, _ = writers.load_model(spark, path, epoch)
         assert sorted(loaded.bigrams.select("h", "w", "n").collect()) == sorted(want.bigrams.select("h", "w", "n").collect())
 

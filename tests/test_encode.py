@@ -5,10 +5,10 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from lexmill.functions.lookup import build_lookup
+from lexmill.functions import lookup
 from lexmill.functions.scratch import materialize
 from lexmill.operators import vocab
-from lexmill.operators.encode import encode, encode_fixed, encode_subword_ids, model_inputs, pad_to_longest
+from lexmill.operators.encode import PieceTree, encode, encode_fixed, encode_ids, encode_subword_ids, model_inputs, pad_to_longest
 
 TEXTS = ["the cat sat. the dog sat!", "", "a cat, a dog; ünïcode 東京 2024", "zebra\tzebra\x0bthe", "😀 the"]
 
@@ -33,9 +33,35 @@ def test_vocab_limits(corpus):
     assert vocab.build_vocab(corpus(TEXTS), 100, min_freq=2).count() == len(vocab.SPECIALS) + len(
         [t for t, n in Counter(t for x in TEXTS for t in tokens_of(x)).items() if n >= 2]
     )
-    for size in (5, (1 << 20) + 1):
-        with pytest.raises(ValueError):
-            vocab.build_vocab(corpus(TEXTS), size)
+    with pytest.raises(ValueError):
+        vocab.build_vocab(corpus(TEXTS), 5)
+
+
+def test_vocab_without_ceiling(corpus):
+    got = vocab.build_vocab(corpus(TEXTS), None).collect()
+    assert {r["token"]: r["id"] for r in got} == vocab_of(TEXTS, 10**6)
+
+
+@pytest.mark.parametrize("size", [1, 3, 10, 40, 10**6])
+@pytest.mark.parametrize("step", [1, 4])
+def test_frequent_pieces_of_any_length(spark, monkeypatch, size, step):
+    """The same pieces as counting every substring, whatever lengths a round covers."""
+    monkeypatch.setattr(vocab, "PIECE_STEP", step)
+    rng = random.Random(2)
+    stems = ["internation", "al", "ness", "ab", "é東", "x"]
+    words = {"".join(rng.choices(stems, k=rng.randint(1, 4))): rng.randint(1, 50) for _ in range(60)} | {"y" * 101: 500}
+    every = Counter()
+    for w, n in words.items():
+        if len(w) <= 100:
+            for i in range(len(w)):
+                for j in range(i + 1, len(w) + 1):
+                    every[("##" if i else "") + w[i:j]] += n
+    want = sorted(every.items(), key=lambda p: (-p[1], p[0].encode()))[:size]
+    df = materialize(spark.createDataFrame(list(words.items()), "token string, freq bigint"), "w")
+    kept = materialize(vocab.frequent_pieces(df, size), "p")
+    got = vocab.number_tokens(kept, size).filter("freq > 0").orderBy("id").collect()
+    assert [(r["token"], r["freq"]) for r in got] == want
+    assert max(len(t) for t, _ in want) > 4 or size < 40
 
 
 def test_zwnj_joins_only_with_its_pattern(spark):
@@ -59,11 +85,46 @@ def test_encode_matches_model(corpus):
 
 def test_encode_moves_no_rows(corpus, spark):
     words = materialize(vocab.build_vocab(corpus(TEXTS), 9), "v")
-    rows = materialize(corpus(TEXTS), "c")
-    plan = encode(rows, words)._jdf.queryExecution().optimizedPlan().toString()
-    main = plan.split("scalar-subquery")[0]
-    assert "Join" not in main and "_slots" not in plan.splitlines()[-1]
-    assert "Exchange" not in encode(rows, words)._jdf.queryExecution().sparkPlan().toString().split("Subquery")[0]
+    plan = encode(materialize(corpus(TEXTS), "c"), words)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("head_bytes", [0, 60, 140, 1 << 20])
+def test_the_same_ids_from_head_and_tail(corpus, head_bytes):
+    texts = [*TEXTS, "unseen words the cat unseen", "unseen"]
+    words = materialize(vocab.build_vocab(corpus(TEXTS), None), "v")
+    ids = vocab_of(TEXTS, 10**6)
+    got = {r["row_ord"]: r["input_ids"] for r in encode_ids(corpus(texts), words, head_bytes=head_bytes).collect()}
+    assert got == {i: [2, *[ids.get(t, 1) for t in tokens_of(text)], 3] for i, text in enumerate(texts)}
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    """All tokens share a few hashes; the entries are still found by the tokens themselves."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(lookup, "_hashes", lambda tokens: np.array([len(t) for t in tokens], np.uint64))
+    tokens = ["a", "b", "cc", "dd", "ee", "fff"]
+    rows = pa.table({"token": tokens, "ids": pa.array([[i] for i in range(6)], pa.list_(pa.int32())), "hash": lookup._hashes(tokens)})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    head = lookup._Head(sink.getvalue().to_pybytes())
+    assert head.find(pa.array(["ee", "b", "zz", "fff", "gggg", "a"])).tolist() == [4, 1, -1, 5, -1, 0]
+
+
+def test_a_vocabulary_of_two_million_tokens(spark, corpus):
+    """More tokens than are broadcast, and a plan that does not carry them."""
+    n = 1 << 21
+    tokens = spark.range(n).select(
+        F.concat(F.lit("t"), "id").alias("token"), (F.col("id") + 5).cast("int").alias("id"), (F.lit(n) - F.col("id")).alias("freq")
+    )
+    table = lookup.token_table(materialize(tokens, "big"))
+    assert table.tail is not None and 0 < table.tail.count() < n
+    assert len(table.head.value) < 2 * lookup.HEAD_BYTES
+    rows = corpus(["t0 t1 t2097151 other t1500000", "t7"])
+    got = lookup.tokens_to_ids(rows, F.split("text", " "), ["row_ord"], table, 1).orderBy("row_ord").collect()
+    assert [r["input_ids"] for r in got] == [[5, 6, 2097156, 1, 1500005], [12]]
 
 
 @pytest.mark.parametrize("n", [0, 1, 6, 7, 8, 58])
@@ -101,7 +162,7 @@ def greedy(word, pieces):
     return out
 
 
-def test_subword_matches_greedy_model(corpus, spark, monkeypatch):
+def test_subword_matches_greedy_model(corpus, spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(150)] + ["a" * 101, "a" * 100]
     texts = [" ".join(rng.choices(words, k=20)) for _ in range(30)]
@@ -109,17 +170,34 @@ def test_subword_matches_greedy_model(corpus, spark, monkeypatch):
     table = {t: i for i, t in enumerate([*vocab.SPECIALS, *pieces])}
     df = materialize(spark.createDataFrame([(t, i, 0) for t, i in table.items()], "token string, id int, freq bigint"), "p")
     want = [[2, *[i for w in t.split() for i in greedy(w, table)], 3] for t in texts]
-    # With a memo of every word, and with one so small that most words are cut where they stand.
-    for memo in (1 << 17, 5):
-        monkeypatch.setattr("lexmill.operators.encode.MEMO_WORDS", memo)
-        got = encode_subword_ids(corpus(texts), df).orderBy("row_ord").collect()
+    # With every word looked up where it stands, with most of them joined back, and with all of them.
+    for head_bytes in (1 << 20, 900, 0):
+        got = encode_subword_ids(corpus(texts), df, head_bytes=head_bytes).orderBy("row_ord").collect()
         assert [r["input_ids"] for r in got] == want
 
 
+def test_one_walk_equals_greedy_search():
+    rng = random.Random(8)
+    for _ in range(200):
+        made = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 12))}
+        pieces = {("##" if rng.random() < 0.6 else "") + p: i for i, p in enumerate(sorted(made))}
+        tree = PieceTree(pieces.items())
+        for _ in range(40):
+            word = "".join(rng.choice("abc") if rng.random() < 0.03 else rng.choice("ab") for _ in range(rng.randint(1, 14)))
+            assert tree.cut(word) == greedy(word, pieces)
+
+
+def test_pieces_of_all_executors_are_checked(corpus, spark, monkeypatch):
+    monkeypatch.setattr("lexmill.operators.encode.HEAD_BYTES", 3)
+    pieces = spark.createDataFrame([("a", 5, 0)], "token string, id int, freq bigint")
+    with pytest.raises(ValueError, match="bytes of sub-word pieces"):
+        encode_subword_ids(corpus(["a"]), pieces)
+
+
 def test_subword_equals_wordpiece_library(corpus, spark):
     tokenizers = pytest.importorskip("tokenizers")
     rng = random.Random(9)
-    words = ["".join(rng.choice("abcdé東") for _ in range(rng.randint(1, 12))) for _ in range(200)]
+    words = ["".join(rng.choice("abcdé東") for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
     pieces = {w[i : i + k] if i == 0 else "##" + w[i : i + k] for w in words[:60] for i in range(len(w)) for k in (1, 2, 3)}
     table = {t: i for i, t in enumerate([*vocab.SPECIALS, *sorted(pieces)])}
     model = tokenizers.models.WordPiece(table, unk_token="[UNK]", max_input_chars_per_word=100)
@@ -127,8 +205,3 @@ def test_subword_equals_wordpiece_library(corpus, spark):
     df = materialize(spark.createDataFrame([(t, i, 0) for t, i in table.items()], "token string, id int, freq bigint"), "p")
     got = encode_subword_ids(corpus(words), df).orderBy("row_ord").collect()
     assert [r["input_ids"] for r in got] == want
-
-
-def test_lookup_refuses_large_tables(spark):
-    with pytest.raises(ValueError, match="over the limit"):
-        build_lookup(spark.range(11).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), "k", "v", 10)

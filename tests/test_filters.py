@@ -49,3 +49,13 @@ def test_uniform_key_does_not_depend_on_partitions(spark, parts):
 
     want = sorted(int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) for i in range(50))
     assert sorted(r[0] for r in df.collect()) == want
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_counts_are_taken_while_the_rows_are_written(spark, tmp_path, lines):
+    df = spark.createDataFrame([("  a  ",), ("abcdef",), (None,), ("     ",), (" abcde ",), ("abcd",)], "text string")
+    kept, seen = filters.observed_filter(df.repartition(3), lines=lines)
+    kept.write.parquet(str(tmp_path / "kept"))
+    audit = filters.filter_audit(df, lines=lines).first()
+    assert seen.get == {"n_before": 6, "n_after": audit["n_after"]}
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == audit["n_after"]

@@ -45,6 +45,89 @@ def test_causal_losses(spark, monkeypatch, hot, share):
         assert r["loss"] == pytest.approx(sum(flat) / len(flat))
 
 
+def back_off_p(train, width):
+    """p(w | u, h) from the definition: discounted counts, and the lower order over distinct left contexts."""
+    tri = Counter()
+    for r in train:
+        e = [-1, *r]
+        tri.update((e[i - 2], e[i - 1], e[i]) for i in range(2, len(e)))
+    pair, token = Counter((h, w) for _, h, w in tri), Counter(w for _, w in {(h, w) for _, h, w in tri})
+
+    def discount(counts):
+        n1, n2 = (sum(n == k for n in counts.values()) for k in (1, 2))
+        return n1 / (n1 + 2 * n2) if n1 else 0.5
+
+    def level(counts, context, w, lower):
+        own = {k: n for k, n in counts.items() if k[: len(context)] == context}
+        total = sum(own.values())
+        if not total:
+            return lower
+        d = discount(counts)
+        return max(own.get((*context, w), 0) - d, 0) / total + d * len(own) / total * lower
+
+    def p(u, h, w):
+        p1 = level({(t,): n for t, n in token.items()}, (), w, 1 / width)
+        return level(tri, (u, h), w, level(pair, (h,), w, p1))
+
+    return p
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_trigram_losses(spark, hot):
+    train, test = rows(1, hot=hot) + [[7], []], rows(2, 20, hot=hot) + [[38, 39, 39, 38], [5]]
+    model = ngram.fit_trigram(frame(spark, train), V)
+    batches = materialize(frame(spark, test), "b")
+    got = metrics.batch_losses(ngram.score_trigram(batches, model, ["batch_id"]), batches).orderBy("batch_id").collect()
+    p = back_off_p(train, V)
+    nll = [[-math.log(p(r[i - 2] if i > 1 else -1, r[i - 1], r[i])) for i in range(1, len(r))] for r in test]
+    assert [r["n_rows"] for r in got] == [8, 8, 6]
+    for r in got:
+        flat = [x for row in nll[r["batch_id"] * 8 : r["batch_id"] * 8 + 8] for x in row]
+        assert (r["n_pred"], r["loss"]) == (len(flat), pytest.approx(sum(flat) / len(flat)))
+
+
+def test_trigram_probabilities_sum_to_one(spark):
+    """For contexts that were seen, of which only the last token was seen, and that were not seen at all."""
+    train = rows(3, 30)
+    model = ngram.fit_trigram(frame(spark, train), V)
+    seen = (train[0][0], train[0][1])
+    contexts = [seen, (-1, train[1][0]), (39, train[0][1]), (2, 3)]
+    asked = [(u, h, w) for u, h in contexts for w in range(V)]
+    df = spark.createDataFrame(asked, "u int, h int, w int")
+    sums = ngram.trigram_nll(df, model).groupBy("u", "h").agg(F.sum(F.exp(-F.col("nll"))).alias("p")).collect()
+    assert len(sums) == len(contexts) and all(r["p"] == pytest.approx(1) for r in sums)
+
+
+def test_trigram_model_of_nothing(spark):
+    model = ngram.fit_trigram(frame(spark, [[5], []]), V)
+    df = frame(spark, [[5, 6, 7]])
+    assert [r["nll"] for r in ngram.score_trigram(df, model, []).collect()] == [pytest.approx(math.log(V))] * 2
+
+
+def test_losses_of_rows_in_any_order(spark):
+    """Rows scored once give each batch order the losses of scoring its batches."""
+    scored = spark.createDataFrame([(c, float(c + i)) for c in range(9) if c != 4 for i in range(1 + c % 3)], "chunk_id bigint, nll double")
+    orders = [(e, c, (c * (e + 2)) % 9 // 4) for e in range(3) for c in range(9)] + [(3, 4, 0)]
+    batches = spark.createDataFrame(orders, "epoch int, chunk_id bigint, batch_id bigint")
+    want = metrics.batch_losses(batches.join(scored, "chunk_id"), batches, ["epoch"])
+    got = metrics.losses_of_rows(metrics.row_losses(scored, ["chunk_id"]), batches, ["chunk_id"], ["epoch"])
+    key = lambda r: (r["epoch"], r["batch_id"])
+    assert [str(r) for r in sorted(got.collect(), key=key)] == [str(r) for r in sorted(want.collect(), key=key)]
+
+
+@pytest.mark.parametrize(("accumulation", "every"), [(1, 1), (4, 5), (3, 2), (2, 100)])
+def test_update_log(spark, accumulation, every):
+    rng = random.Random(3)
+    made = {(e, b): rng.random() for e in range(3) for b in range(11)}
+    df = spark.createDataFrame([(e, b, x) for (e, b), x in made.items()], "epoch int, batch_id bigint, loss double")
+    updates = [[made[e, b] for b in range(i, min(i + accumulation, 11))] for e in range(3) for i in range(0, 11, accumulation)]
+    want = {}
+    for step in range(every, len(updates) + 1, every):
+        flat = [x for u in updates[step - every : step] for x in u]
+        want[step] = pytest.approx(sum(flat) / len(flat))
+    assert {r["step"]: r["mean_loss"] for r in metrics.update_log(df, accumulation, every).collect()} == want
+
+
 def masked_p(train, k, weights=(0.4, 0.25, 0.25, 0.1)):
     both = Counter()
     for r in train:

@@ -87,10 +87,31 @@ def test_sorted_ordinal_splits_a_key_prefix_that_holds_most_rows(spark):
     assert [r["row_ord"] for r in got] == list(range(900))
 
 
-def test_bases_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr("lexmill.operators.ordinal.FANOUT", 4)
+def test_bases_over_many_buckets(spark):
     totals = [(b, (b * 7) % 5) for b in range(0, 90, 2)]
-    df = spark.createDataFrame(totals, "b bigint, n bigint")
+    df = spark.createDataFrame(totals, "b bigint, n bigint").repartition(6)
     got = {r["b"]: r["base"] for r in exclusive_bases(df, "b", "n").collect()}
     assert got == {b: sum(n for c, n in totals if c < b) for b, _ in totals}
     assert bucketed_rank(df, F.col("b"), ["b"], "rank").agg(F.max("rank")).first()[0] == len(totals) - 1
+
+
+def test_bases_of_parts(spark):
+    totals = [(p, b, 1 + (b * p) % 4) for p in (0, 1, 5) for b in range(40)]
+    df = spark.createDataFrame(totals, "p int, b bigint, n bigint").repartition(6)
+    got = {(r["p"], r["b"]): r["base"] for r in exclusive_bases(df, "b", "n", ["p"]).collect()}
+    assert got == {(p, b): sum(n for q, c, n in totals if q == p and c < b) for p, b, _ in totals}
+
+
+def test_scattered_ids_meet_in_few_ranges(spark, monkeypatch):
+    """Hashed ids put every row into a bucket of its own; what one task adds up is still one row a range."""
+    from lexmill.operators import ordinal
+
+    met = []
+    keep = ordinal.materialize
+    monkeypatch.setattr(ordinal, "materialize", lambda df, tag: met.append(keep(df, tag)) or met[-1])
+    df = spark.range(20_000).select(F.xxhash64("id").alias("id"))
+    got = [r["row_ord"] for r in dense_ordinal(df, "id").orderBy("id").collect()]
+    assert got == list(range(20_000))
+    (totals,) = met
+    assert totals.count() > 19_000
+    assert totals.select("_range").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))

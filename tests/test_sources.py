@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -123,3 +125,39 @@ def test_pairs_are_read_whole_by_default(spark, tmp_path):
     path = tmp_path / "pairs.csv"
     path.write_text("inputs,targets\n" + "".join(f"a{i},b{i}\n" for i in range(1500)))
     assert readers.read_pairs(spark, str(path)).count() == 1500
+
+
+def csv_text(rng, n):
+    """Rows whose quoted cells hold line breaks, doubled quotes and separators, some over many lines."""
+    def cell():
+        kind = rng.random()
+        if kind < 0.2:
+            return "plain text" + "x" * rng.randint(0, 9)
+        body = "".join(rng.choice(["a", " ", ",", "\n", "\r\n", '""', "é", "\n\n"]) for _ in range(rng.randint(0, 400 if kind > 0.97 else 25)))
+        return f'"cell {body}"'
+
+    return "n,text,more\n" + "".join(f"{i},{cell()},{cell()}\n" + "\n" * (rng.random() < 0.1) for i in range(n))
+
+
+def test_quoted_csv_in_many_splits(spark, tmp_path):
+    """The same rows as from whole files, wherever the files are cut."""
+    rng = random.Random(11)
+    for name in ("a", "b"):
+        write(tmp_path / "big.csv" / f"{name}.csv", csv_text(rng, 300))
+    write(tmp_path / "big.csv" / "c.csv", "n,text,more\r\n1,\"one\ncell\",x\r\n2,second cell,y")
+    path = str(tmp_path / "big.csv")
+    want = [r["text"] for r in readers.read_corpus(spark, path, "text").orderBy("row_ord").collect()]
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("150b", "997b", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            got = readers.read_corpus(spark, path, "text", multi_line=readers.SPLITS).orderBy("row_ord").collect()
+            assert [r["row_ord"] for r in got] == list(range(len(want)))
+            assert [r["text"] for r in got] == want
+        pairs = readers.read_pairs(spark, path, "text", "more", multi_line=readers.SPLITS)
+        same = readers.read_pairs(spark, path, "text", "more")
+        assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, same.collect()))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
