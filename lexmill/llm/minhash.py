@@ -8,11 +8,11 @@ of links.
 1. One pass over the texts gives a digest of the set, ``HASHES`` minima under different permutations, the hashes of
    ``BANDS`` bands of them, and the lowest ``BITS`` bits of every minimum, packed into 64-bit words. Documents with equal sets (exact
    copies above all) form a class at once; only the smallest id of a class goes on.
-2. Candidates: in each band bucket, every document meets one document of that bucket (a different choice in each band),
-   never all of them. The packed bits estimate the similarity: equal b-bit values, counted with a bit count and
+2. Candidates: in each band bucket, every document meets one document of that bucket (the first in an order that is the same for
+   all bands), never all of them: first in ``FIRST_BANDS`` bands, then in the others where it is not yet in the same component. The packed bits estimate the similarity: equal b-bit values, counted with a bit count and
    corrected for chance collisions. Pairs far below the threshold (``SLACK``, five standard errors) are dropped.
-3. Confirmation on the full sets: first each document with its best candidate; then, over the components found so far, all
-   remaining candidates between different components.
+3. Confirmation on the full sets, after either round of meetings: first each document with its best candidate; then, over the
+   components found so far, all remaining candidates between different components.
 4. What the choice in step 2 can have missed: in buckets that still hold several components, documents outside
    the bucket's largest component are held against those of other components. Shingles that no other of these
    documents has bound the similarity a document can reach with any other; what the bound, the set sizes and the packed
@@ -45,6 +45,8 @@ from lexmill.llm.texts import SPACED, Words, as_lists, grams, mix, reach_package
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
+#: Bands that are looked at before any component is known.
+FIRST_BANDS = 3
 BITS = 4
 WORDS64 = HASHES * BITS // 64
 SLACK = 0.19
@@ -178,6 +180,7 @@ class _Links:
     def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
         self.nodes, self.sets, self.percent = nodes, sets, percent
         self.edges: DataFrame | None = None
+        self.seen: DataFrame | None = None
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``a, b`` whose sizes and packed bits allow a link, with the estimate."""
@@ -190,6 +193,14 @@ class _Links:
             .where(F.col("est") >= self.percent / 100 - SLACK)
         )
 
+    def meet(self, pairs: DataFrame) -> None:
+        """Take the links among the pairs ``a, b``: for each ``b`` the likeliest pair first, then those that would still join two components."""
+        candidates = materialize(self.plausible(pairs), "candidates")
+        self.seen = candidates.select("a", "b") if self.seen is None else self.seen.unionByName(candidates.select("a", "b"))
+        best = candidates.groupBy(F.col("b").alias("node")).agg(F.max_by("a", "est").alias("a")).select("a", F.col("node").alias("b"))
+        self.confirm(best)
+        self.confirm(materialize(self.across(candidates.select("a", "b").exceptAll(best), self.components()), "candidates"))
+
     def _sizes_fit(self, x: str, y: str) -> Column:
         return (F.col(x) * 100 >= F.col(y) * self.percent) & (F.col(y) * 100 >= F.col(x) * self.percent)
 
@@ -251,12 +262,16 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     crowded = materialize(placed.join(buckets, ["band", "key"]), "crowded")
     sets = _sets_of(docs, materialize(crowded.select(F.col("node").alias("doc_id")).distinct(), "crowded-ids"), shingle)
     links = _Links(nodes.select("node", "n", "bits"), sets, percent)
-    met = crowded.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    candidates = materialize(links.plausible(met), "candidates")
-
-    best = candidates.groupBy(F.col("b").alias("node")).agg(F.max_by("a", "est").alias("a")).select("a", F.col("node").alias("b"))
-    links.confirm(best)
-    links.confirm(materialize(links.across(candidates.select("a", "b").exceptAll(best), links.components()), "candidates"))
+    # A first few bands, then the others for documents that are still apart: the members of a dense group lie in buckets
+    # of many different first documents, and one link to the group is enough.
+    met = crowded.where((F.col("node") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
+    links.meet(met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    apart = materialize(crowded.select("node", "band", "key").join(links.components(), "node"), "apart")
+    first = F.min(F.struct(F.xxhash64("node").alias("o"), "node", "comp")).alias("first")
+    mixed = apart.groupBy("band", "key").agg(first, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    pivots = mixed.select("band", "key", F.col("first.node").alias("pivot"), F.col("first.comp").alias("pivot_comp"))
+    others = apart.join(pivots, ["band", "key"]).where("comp <> pivot_comp")
+    links.meet(others.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
     # Links that no meeting with a bucket's chosen document has shown.
     comps = links.components()
@@ -296,7 +311,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    links.confirm(materialize(rest.join(candidates.select("a", "b"), ["a", "b"], "left_anti"), "candidates"))
+    links.confirm(materialize(rest.join(links.seen, ["a", "b"], "left_anti"), "candidates"))
 
     # Rows of one id may belong to several classes: the id ties these together.
     same = members.join(links.components(), "node").select("doc_id", F.col("comp").alias("node"))
