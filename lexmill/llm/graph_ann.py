@@ -1,10 +1,12 @@
 """Approximate nearest neighbours on robust-pruned directed graphs, one per shard.
 
-The measure is the largest inner product. With one more component, ``sqrt(M^2 - |x|^2)`` (M: the largest norm), inner products with a
-query become Euclidean distances, for which the graphs are built. Equal vectors are one node; its copies (ids) come
+The measure is the largest inner product. With one more component, ``sqrt(M^2 - |x|^2)`` (M: the largest norm of the shard), inner products
+with a query become Euclidean distances, for which the graphs are built. That component must not drown the others, so a shard
+holds vectors of nearly equal norm: norms are cut into bands a factor of ``BAND`` wide, and a band into as many shards as its
+rows need. Equal vectors are one node; its copies (ids) come
 back at the end, so copies neither crowd out other neighbours nor break the pruning.
 
-Building a shard (at most about ``SHARD_NODES`` nodes, dealt by hash): nodes are inserted in batches that double in size. For each, a
+Building a shard (at most about ``SHARD_NODES`` nodes, dealt by hash inside a band): nodes are inserted in batches that double in size. For each, a
 greedy search on the graph so far proposes neighbours: all nodes it has visited. Robust pruning takes the nearest proposal
 again and again and drops those that the chosen one is nearer to by the factor ``ALPHA``, up to ``DEGREE`` edges. Reverse edges are
 added, and pruned alike when a node has half as many again. A second round over all nodes repairs what the first batches lacked.
@@ -36,6 +38,8 @@ DEGREE = 24
 #: Nodes kept while proposals are searched, and while queries are answered.
 BEAM, SEARCH_BEAM = 64, 128
 ALPHA = 1.2
+#: Norms of a band differ by this factor at most; those below the last of ``BANDS`` bands (a thousandth of the largest) are in it.
+BAND, BANDS = 1.05, 142
 #: Queries that walk a shard together.
 _LANE = 256
 
@@ -152,12 +156,16 @@ def build(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: flo
     return graph, entry
 
 
-def _builder(largest: float, degree: int, beam: int, alpha: float):
+def lifted(x: np.ndarray) -> np.ndarray:
+    """Vectors with the component that gives all of them the largest norm among them."""
+    squares = (x**2).sum(axis=1)
+    return np.concatenate([x, np.sqrt(squares.max() - squares)[:, None]], axis=1)
+
+
+def _builder(degree: int, beam: int, alpha: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable")
-        x = np.stack(pdf["vector"].to_numpy())
-        lift = np.sqrt(np.maximum(largest**2 - (x**2).sum(axis=1), 0))
-        graph, entry = build(np.concatenate([x, lift[:, None]], axis=1), degree, beam, alpha)
+        graph, entry = build(lifted(np.stack(pdf["vector"].to_numpy())), degree, beam, alpha)
         return pd.DataFrame(
             {
                 "shard": pdf["shard"],
@@ -172,17 +180,25 @@ def _builder(largest: float, degree: int, beam: int, alpha: float):
     return run
 
 
-def build_index(vectors: DataFrame, shard_nodes: int = SHARD_NODES, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> tuple[DataFrame, float, int]:
-    """Written index of distinct ``node, vector``; the largest norm and the number of shards."""
-    norm2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    n, top = vectors.agg(F.count("*"), F.max(norm2)).first()
-    largest, shards = float(np.sqrt(top or 0.0)), max(1, -(-n // shard_nodes))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
+def build_index(vectors: DataFrame, shard_nodes: int = SHARD_NODES, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> tuple[DataFrame, int]:
+    """Written index of distinct ``node, vector``, and the number of shards."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+    largest = vectors.agg(F.max(norm)).first()[0] or 1.0
+    # The largest norm and what rounding takes from it are in band 0.
+    band = F.greatest(F.ceil(F.log(norm / F.lit(largest)) / F.log(F.lit(BAND))), F.lit(1 - BANDS)).cast("int")
+    banded = vectors.withColumn("band", band)
+    first, shards = {}, 0
+    for r in banded.groupBy("band").agg(F.count("*").alias("n")).orderBy("band").collect():  # at most BANDS rows
+        many = -(-r["n"] // shard_nodes)
+        first[r["band"]] = (shards, many)
+        shards += many
+    pick = lambda i: F.element_at(F.create_map(*[F.lit(v) for b, own in (first or {0: (0, 1)}).items() for v in (b, own[i])]), F.col("band"))
+    dealt = banded.select("node", "vector", (pick(0) + F.pmod(F.xxhash64("node"), pick(1))).cast("int").alias("shard"))
     built = dealt.groupBy("shard").applyInPandas(
-        _builder(largest, degree, beam, alpha),
+        _builder(degree, beam, alpha),
         "shard int, node long, vector array<double>, edges array<int>, place int, entry boolean",
     )
-    return materialize(built, "ann-index"), largest, shards
+    return materialize(built, "ann-index"), max(1, shards)
 
 
 def _searcher(k: int, beam: int):
@@ -191,9 +207,7 @@ def _searcher(k: int, beam: int):
             return pd.DataFrame({"query": pd.Series(dtype="int64"), "node": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         index = index.sort_values("place")
         exact = np.stack(index["vector"].to_numpy())
-        largest = queries["largest"].iloc[0]
-        lift = np.sqrt(np.maximum(largest**2 - (exact**2).sum(axis=1), 0))
-        points = np.concatenate([exact, lift[:, None]], axis=1).astype(np.float32)
+        points = lifted(exact).astype(np.float32)
         norms = (points**2).sum(axis=1)
         graph = np.stack(index["edges"].to_numpy()).astype(np.int64)
         entry = int(np.flatnonzero(index["entry"].to_numpy())[0])
@@ -203,8 +217,8 @@ def _searcher(k: int, beam: int):
         out = []
         for low in range(0, len(q), _LANE):
             part = q[low : low + _LANE]
-            lifted = np.concatenate([part, np.zeros((len(part), 1))], axis=1).astype(np.float32)
-            ids, dist = walk(points, norms, graph, entry, lifted, beam)
+            flat = np.concatenate([part, np.zeros((len(part), 1))], axis=1).astype(np.float32)
+            ids, dist = walk(points, norms, graph, entry, flat, beam)
             row, col = np.nonzero(np.isfinite(dist))
             found = ids[row, col]
             score = np.einsum("nd,nd->n", exact[found], part[row])
@@ -244,14 +258,14 @@ def search(
     rows = materialize(usable(rows).withColumn("hash", F.xxhash64("vector")), "ann-rows")
     # Distinct vectors: the smallest id stands for all copies.
     nodes = materialize(rows.groupBy("hash", "vector").agg(F.min("vec_id").alias("node")), "ann-nodes")
-    index, largest, shards = build_index(nodes.select("node", "vector"), shard_nodes, degree, beam)
+    index, shards = build_index(nodes.select("node", "vector"), shard_nodes, degree, beam)
     # A vector is searched once for all its queries; one more neighbour makes up for the query's own vector.
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select("hash", "vector").distinct().join(nodes, ["hash", "vector"])
     asked = materialize(asked.select(F.col("node").alias("query"), "vector"), "ann-queries")
     blocks = max(1, -(-asked.count() // query_block))
     shard_list = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     block_list = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    sent = asked.select("query", "vector", F.lit(largest).alias("largest"), F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"), shard_list)
+    sent = asked.select("query", "vector", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"), shard_list)
     there = index.select("*", block_list)
     found = materialize(
         there.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInPandas(
