@@ -58,7 +58,7 @@ def update_log(losses: DataFrame, accumulation: int = 4, every: int = 5) -> Data
     starts = per_epoch.select("epoch", before.alias("_before"), F.sum("_updates").over(W.partitionBy()).alias("_all"))
     update = F.col("_before") + idiv(F.col("batch_id"), accumulation)
     step = (idiv(update, every) + 1) * every
-    logged = losses.join(F.broadcast(starts), "epoch").withColumn("step", step).filter(F.col("step") <= F.col("_all"))
+    logged = losses.join(starts, "epoch").withColumn("step", step).filter(F.col("step") <= F.col("_all"))
     return logged.groupBy("step").agg(F.avg("loss").alias("mean_loss"))
 
 
@@ -75,7 +75,7 @@ def perplexity_gather(losses: DataFrame, batch_size: int, keys: list[str] | None
     """
     keys = keys or []
     sizes = losses.groupBy(*keys).agg(F.sum("n_rows").alias("_rows"))
-    joined = losses.join(F.broadcast(sizes), keys) if keys else losses.withColumn("_rows", sizes.scalar())
+    joined = losses.join(sizes, keys) if keys else losses.withColumn("_rows", sizes.scalar())
     left = F.col("_rows") - F.lit(batch_size) * F.col("batch_id")
     weight = F.greatest(F.least(F.lit(batch_size), left), F.lit(0))
     mean = F.sum(F.col("loss") * weight) / F.max("_rows")

@@ -201,8 +201,8 @@ def _renamed(table: DataFrame, name: str) -> DataFrame:
 def causal_nll(positions: DataFrame, model: CausalModel) -> DataFrame:
     """(h, w, seen, nll), one row per distinct pair that is to be scored."""
     distinct = positions.groupBy("h", "w").agg(F.count(F.lit(1)).alias("seen"))
-    # One row per vocabulary id, a bound the vocabulary has already been checked against.
-    contexts = F.broadcast(_renamed(model.contexts, "n_h"))
+    # One row per token; how it is joined is left to the size it turns out to have.
+    contexts = _renamed(model.contexts, "n_h")
     p = (_n("n_hw") + model.k) / (_n("n_h") + model.k * model.vocab_size)
     return (
         distinct.join(_renamed(model.bigrams, "n_hw"), ["h", "w"], "left")
@@ -256,9 +256,10 @@ def masked_nll(positions: DataFrame, model: MaskedModel) -> DataFrame:
     sum to one. Totals per left, right and centre token come from tables with one row per id.
     """
     distinct = positions.groupBy("l", "c", "r").agg(F.count(F.lit(1)).alias("seen"))
-    left_totals = F.broadcast(_roll_up(model.left, "l").withColumnRenamed("n", "n_l"))
-    right_totals = F.broadcast(_roll_up(model.right, "r").withColumnRenamed("n", "n_r"))
-    unigrams = F.broadcast(_renamed(model.unigrams, "n_c"))
+    # One row per token; how they are joined is left to the size they turn out to have.
+    left_totals = _roll_up(model.left, "l").withColumnRenamed("n", "n_l")
+    right_totals = _roll_up(model.right, "r").withColumnRenamed("n", "n_r")
+    unigrams = _renamed(model.unigrams, "n_c")
     total = model.unigrams.agg(F.sum("n")).scalar()
     k, kv = model.k, model.k * model.vocab_size
     estimates = [

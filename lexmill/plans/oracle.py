@@ -7,23 +7,23 @@ from __future__ import annotations
 
 import re
 
-from lexmill.functions.columns import STRIP_CHARS
-from lexmill.operators.masking import hex_limit
-from lexmill.operators.vocab import CHAT_SPECIALS, CHAT_WORDS, SPECIALS, WORDS
-from lexmill.plans.queries import (
-    CAUSAL_LENGTH,
-    CHAT_SIZE,
-    EVAL_BATCH,
-    FIXED_LENGTH,
-    LINE_BREAK,
-    OPTIONS,
-    PIECES_SIZE,
-    WORDS_SIZE,
-    WORKERS,
-)
-
-B, C, E, SEED = OPTIONS.batch_size, OPTIONS.chunk_size, OPTIONS.num_train_epochs, OPTIONS.random_seed
+# What the queries are registered with, said here again: a wrong value in the engine must not be right in both places.
+WORDS_SIZE, PIECES_SIZE, CHAT_SIZE = 8000, 4000, 4000
+FIXED_LENGTH, CAUSAL_LENGTH, EVAL_BATCH, WORKERS = 512, 256, 16, 4
+B, C, E, SEED, PROBABILITY = 32, 128, 3, 42, "0.2"
 K = "0.1::DOUBLE"
+# Special tokens, the patterns of words and line breaks, and the code points that are stripped.
+SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
+CHAT_SPECIALS = ("<|im_start|>", "<|im_end|>")
+WORDS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}\t\n\x0B\f\r ])"
+CHAT_WORDS = r"(<\|im_start\|>|<\|im_end\|>|[\p{L}\p{N}]+|[^\p{L}\p{N}\t\n\x0B\f\r ])"
+LINE_BREAK = r"\r\n|\r|\n"
+STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# Eight hex digits below which lie a fifth, eight tenths and nine tenths of all such digits.
+LIMIT_CHOSEN, LIMIT_MASK, LIMIT_RANDOM = "33333333", "cccccccd", "e6666666"
 
 
 def _special_rows(names: tuple[str, ...]) -> str:
@@ -59,11 +59,11 @@ def _masked(source: str, epoch: str, keep: str) -> str:
     block = f"md5('{SEED}:' || {epoch} || ':' || chunk_id || ':' || (p // 4))"
     return f"""
         SELECT {keep}, chunk_id, p, CASE WHEN chosen THEN id ELSE -100 END AS label,
-            CASE WHEN NOT chosen OR substr(own, 1, 8) >= '{hex_limit(0.9)}' THEN id
-                 WHEN substr(own, 1, 8) < '{hex_limit(0.8)}' THEN 4
+            CASE WHEN NOT chosen OR substr(own, 1, 8) >= '{LIMIT_RANDOM}' THEN id
+                 WHEN substr(own, 1, 8) < '{LIMIT_MASK}' THEN 4
                  ELSE (('0x' || substr(own, 9, 8))::BIGINT % (SELECT count(*) FROM vocab))::INT END AS id
         FROM (SELECT *, md5(digest || ':' || (p % 4)) AS own,
-                  id >= 5 AND substr(digest, (p % 4)::INT * 8 + 1, 8) < '{hex_limit(OPTIONS.mlm_probability)}' AS chosen
+                  id >= 5 AND substr(digest, (p % 4)::INT * 8 + 1, 8) < '{LIMIT_CHOSEN}' AS chosen
               FROM (SELECT *, {block} AS digest FROM {source}))"""
 
 
@@ -531,7 +531,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT 'run' AS run_id, 'metric' AS kind, 0 AS epoch, 'val_loss_' || batch_id AS name, round(loss, 6) AS value
         FROM eval_losses
         UNION ALL SELECT 'run', 'argument', NULL, 'batch_size', {B}
-        UNION ALL SELECT 'run', 'argument', NULL, 'mlm_probability', {OPTIONS.mlm_probability}""")
+        UNION ALL SELECT 'run', 'argument', NULL, 'mlm_probability', {PROBABILITY}""")
     q["flagship"] = _with("""
         SELECT 'test' AS split, sum(n_rows)::BIGINT AS n_chunks, sum(n_pred)::BIGINT AS n_pred,
             round(exp(sum(loss * n_rows) / sum(n_rows)), 4) AS perplexity FROM causal_losses""")
