@@ -272,6 +272,23 @@ def test_neighbours(spark):
     assert graph_ann.search(df.limit(0), every=20, k=3).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["unit", "lognormal 0.25", "lognormal 1", "clustered"])
+def test_recall_does_not_depend_on_norms(spark, kind):
+    """With the parameters of the query, against exact inner products."""
+    rng = np.random.default_rng(3)
+    x = np.array(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas()["embedding"].tolist())
+    if kind.startswith("lognormal"):
+        x = x * rng.lognormal(0, float(kind.split()[1]), len(x))[:, None]
+    elif kind == "clustered":
+        x = rng.normal(size=(30, 64))[rng.integers(0, 30, 2000)] * rng.lognormal(0, 0.5, 2000)[:, None] + 0.3 * rng.normal(size=(2000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = graph_ann.search(df, every=20, k=20).toPandas().groupby("query_id").vec_id.agg(set)
+    exact = x[::20] @ x.T
+    exact[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    hits = [len(got[20 * q] & set(np.argsort(-row, kind="stable")[:20].tolist())) for q, row in enumerate(exact)]
+    assert np.mean(hits) / 20 >= 0.95
+
+
 def test_passages(spark, small):
     texts = texts_of(small)
     found = {}
