@@ -11,8 +11,7 @@ of links.
 2. Candidates: in each band bucket, every document meets one document of that bucket (the first in an order that is the same for
    all bands), never all of them: first in ``FIRST_BANDS`` bands, then in the others where it is not yet in the same component. The packed bits estimate the similarity: equal b-bit values, counted with a bit count and
    corrected for chance collisions. Pairs far below the threshold (``SLACK``, five standard errors) are dropped.
-3. Confirmation on the full sets, after either round of meetings: first each document with its best candidate; then, over the
-   components found so far, all remaining candidates between different components.
+3. Confirmation on the full sets, after either round of meetings.
 4. What the choice in step 2 can have missed: in buckets that still hold several components, documents outside
    the bucket's largest component are held against those of other components. Shingles that no other of these
    documents has bound the similarity a document can reach with any other; what the bound, the set sizes and the packed
@@ -194,12 +193,10 @@ class _Links:
         )
 
     def meet(self, pairs: DataFrame) -> None:
-        """Take the links among the pairs ``a, b``: for each ``b`` the likeliest pair first, then those that would still join two components."""
-        candidates = materialize(self.plausible(pairs), "candidates")
-        self.seen = candidates.select("a", "b") if self.seen is None else self.seen.unionByName(candidates.select("a", "b"))
-        best = candidates.groupBy(F.col("b").alias("node")).agg(F.max_by("a", "est").alias("a")).select("a", F.col("node").alias("b"))
-        self.confirm(best)
-        self.confirm(materialize(self.across(candidates.select("a", "b").exceptAll(best), self.components()), "candidates"))
+        """Confirm the pairs ``a, b`` that the packed bits leave."""
+        candidates = materialize(self.plausible(pairs).select("a", "b"), "candidates")
+        self.seen = candidates if self.seen is None else self.seen.unionByName(candidates)
+        self.confirm(candidates)
 
     def _sizes_fit(self, x: str, y: str) -> Column:
         return (F.col(x) * 100 >= F.col(y) * self.percent) & (F.col(y) * 100 >= F.col(x) * self.percent)
@@ -218,11 +215,6 @@ class _Links:
             self.nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "comps"
         )
 
-    def across(self, pairs: DataFrame, comps: DataFrame) -> DataFrame:
-        a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-        b = comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return pairs.join(a, "a").join(b, "b").where("ca <> cb").select("a", "b")
-
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """Written shingle sets of the documents in ``wanted``; a list of ids of a checked size is broadcast, so that texts stay where

@@ -6,6 +6,7 @@ is bounded by a slice of rows (one row at least) and, for hashing, by pieces of
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -43,10 +44,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on after a stage, and the next one adds to what they keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def slices(
     batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES, max_rows: int = SLICE_ROWS
 ) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of at most ``max_rows`` rows that hold at most ``max_bytes`` of text, or a single row."""
+    """Cut a batch into runs of at most ``max_rows`` rows that hold at most ``max_bytes`` of text, or a single row.
+
+    After the last one, memory that is free by then is given back."""
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
@@ -56,6 +67,7 @@ def slices(
         high = min(low + max_rows, max(low + 1, int(np.searchsorted(ends, before + max_bytes, side="right"))))
         yield batch.slice(low, high - low)
         low = high
+    give_back()
 
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
