@@ -8,8 +8,8 @@ of links.
 1. One pass over the texts gives a digest of the set, ``HASHES`` minima under different permutations, the hashes of
    ``BANDS`` bands of them, and the lowest ``BITS`` bits of every minimum, packed into 64-bit words. Documents with equal sets (exact
    copies above all) form a class at once; only the smallest id of a class goes on.
-2. Candidates: in each band bucket, every document meets one document of that bucket (the first in an order that is the same for
-   all bands), never all of them: first in ``FIRST_BANDS`` bands, then in the others where it is not yet in the same component. The packed bits estimate the similarity: equal b-bit values, counted with a bit count and
+2. Candidates: in each band bucket, every document meets one document of that bucket (the one that shares its buckets with most
+   others), never all of them: first in ``FIRST_BANDS`` bands, then in the others where it is not yet in the same component. The packed bits estimate the similarity: equal b-bit values, counted with a bit count and
    corrected for chance collisions. Pairs far below the threshold (``SLACK``, five standard errors) are dropped.
 3. Confirmation on the full sets, after either round of meetings.
 4. What the choice in step 2 can have missed: in buckets that still hold several components, documents outside
@@ -244,22 +244,23 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         "nodes",
     )
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", "key")
-    # One order for all bands: the members of a dense group meet the same document in nearly all their buckets.
-    order = F.struct(F.xxhash64("node").alias("o"), F.col("node").alias("node"))
-    buckets = materialize(
-        placed.groupBy("band", "key").agg(F.min(order).alias("pivot"), F.count("*").alias("size")).where("size > 1")
-        .select("band", "key", F.col("pivot.node").alias("pivot")),
-        "buckets",
-    )
-    crowded = materialize(placed.join(buckets, ["band", "key"]), "crowded")
+    sizes = placed.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(placed.join(sizes, ["band", "key"]), "shared-buckets")
+    # The document that shares its buckets with most others comes first, in all its buckets: in a dense group that is what the
+    # others are copies of, while two of them may be further apart than the threshold.
+    crowd = shared.groupBy("node").agg(F.sum("size").alias("crowd"))
+    central = F.max(F.struct("crowd", F.xxhash64("node").alias("o"), "node")).alias("pivot")
+    ranked = materialize(shared.select("node", "band", "key").join(crowd, "node"), "ranked-buckets")
+    buckets = ranked.groupBy("band", "key").agg(central).select("band", "key", F.col("pivot.node").alias("pivot"))
+    crowded = materialize(ranked.join(buckets, ["band", "key"]), "crowded")
     sets = _sets_of(docs, materialize(crowded.select(F.col("node").alias("doc_id")).distinct(), "crowded-ids"), shingle)
     links = _Links(nodes.select("node", "n", "bits"), sets, percent)
     # A first few bands, then the others for documents that are still apart: the members of a dense group lie in buckets
     # of many different first documents, and one link to the group is enough.
     met = crowded.where((F.col("node") != F.col("pivot")) & (F.col("band") < FIRST_BANDS))
     links.meet(met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-    apart = materialize(crowded.select("node", "band", "key").join(links.components(), "node"), "apart")
-    first = F.min(F.struct(F.xxhash64("node").alias("o"), "node", "comp")).alias("first")
+    apart = materialize(crowded.select("node", "band", "key", "crowd").join(links.components(), "node"), "apart")
+    first = F.max(F.struct("crowd", F.xxhash64("node").alias("o"), "node", "comp")).alias("first")
     mixed = apart.groupBy("band", "key").agg(first, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     pivots = mixed.select("band", "key", F.col("first.node").alias("pivot"), F.col("first.comp").alias("pivot_comp"))
     others = apart.join(pivots, ["band", "key"]).where("comp <> pivot_comp")
