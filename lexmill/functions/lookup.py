@@ -2,7 +2,8 @@
 
 The most frequent entries, as many as fit ``HEAD_BYTES``, are the *head*: sorted by a hash and broadcast, one copy per executor,
 so task binaries stay as small as they are. Rows find their ids where they lie, batch by batch: the tokens of a batch
-are numbered first, and only its distinct tokens are looked up. Equal hashes are told apart by the tokens themselves.
+are taken in slices, and a slice looks up its distinct tokens, or all of them in one pass where the head is small beside it. Equal
+hashes are told apart by the tokens themselves. A worker holds one batch, the arrays of one slice and the head, however many rows its task has.
 
 A table that fits the head moves no row. Of a larger one, the rest is the *tail*: tokens that the head does not hold leave a gap
 in their row, are joined with the tail by shuffle, and are put back into the gaps of the written rows. The tail's tokens
@@ -28,14 +29,16 @@ from pyspark.sql import Window as W
 
 from lexmill.functions.columns import idiv
 from lexmill.functions.scratch import materialize
-from lexmill.functions.workers import reach_package
+from lexmill.functions.workers import give_back, reach_package
 
 #: Bytes of the tokens and ids that are broadcast.
 HEAD_BYTES = 32 << 20
 #: Ids that share a bucket where frequencies are equal.
 _ID_BUCKET = 1 << 12
 #: Tokens handled together in a task.
-_SLICE_TOKENS = 1 << 19
+_SLICE_TOKENS = 1 << 17
+#: A head of so many times fewer entries than a slice has tokens is made a hash table for the slice.
+_SMALL_HEAD = 4
 _GAP = -1
 
 
@@ -119,6 +122,14 @@ class _Head:
             at[left] += 1
         return out
 
+    def entries(self, tokens: pa.Array) -> np.ndarray:
+        """The same for tokens that repeat."""
+        if len(self.tokens) * _SMALL_HEAD <= len(tokens):
+            return pc.index_in(tokens, value_set=self.tokens.cast(tokens.type)).fill_null(-1).to_numpy(zero_copy_only=False)
+        distinct = tokens.dictionary_encode()
+        codes = distinct.indices.to_numpy(zero_copy_only=False)
+        return self.find(distinct.dictionary)[codes] if len(codes) else np.zeros(0, np.int64)
+
 
 _heads: dict[str, _Head] = {}
 
@@ -150,29 +161,34 @@ def _list_of(flat: pa.Array | np.ndarray, offsets: np.ndarray, kind: pa.DataType
 def _mapper(table: TokenTable, missing: int, keep: list[str]):
     name, packed, fill, gaps = table.name, table.head, missing if table.tail is None else _GAP, table.tail is not None
 
+    def coded(batch: pa.RecordBatch, head: _Head) -> Iterator[pa.RecordBatch]:
+        for rows in _row_slices(batch, "_tokens"):
+            lists = rows.column("_tokens")
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            tokens = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            entry = head.entries(tokens)
+            known = entry >= 0
+            length, start = np.ones(len(entry), np.int64), np.zeros(len(entry), np.int64)
+            length[known], start[known] = head.length[entry[known]], head.start[entry[known]]
+            ends = np.cumsum(length)
+            source = np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+            ids = head.flat[source] if len(head.flat) else np.zeros(len(source), np.int32)
+            ids[np.repeat(~known, length)] = fill
+            upto = np.concatenate([[0], ends])
+            columns = [*[rows.column(c) for c in keep], _list_of(ids.astype(np.int32), upto[offsets - offsets[0]], pa.int32())]
+            if gaps:
+                absent = np.concatenate([[0], np.cumsum(~known)])
+                texts = tokens.take(pa.array(np.flatnonzero(~known))).cast(pa.string())
+                columns.append(_list_of(texts, absent[offsets - offsets[0]], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "input_ids", *(["_missed"] if gaps else [])])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = _opened(name, packed)
         for batch in batches:
-            for rows in _row_slices(batch, "_tokens"):
-                lists = rows.column("_tokens")
-                offsets = lists.offsets.to_numpy().astype(np.int64)
-                tokens = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-                codes = tokens.indices.to_numpy(zero_copy_only=False)
-                entry = head.find(tokens.dictionary)[codes] if len(codes) else np.zeros(0, np.int64)
-                known = entry >= 0
-                length, start = np.ones(len(entry), np.int64), np.zeros(len(entry), np.int64)
-                length[known], start[known] = head.length[entry[known]], head.start[entry[known]]
-                ends = np.cumsum(length)
-                source = np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
-                ids = head.flat[source] if len(head.flat) else np.zeros(len(source), np.int32)
-                ids[np.repeat(~known, length)] = fill
-                upto = np.concatenate([[0], ends])
-                columns = [*[rows.column(c) for c in keep], _list_of(ids.astype(np.int32), upto[offsets - offsets[0]], pa.int32())]
-                if gaps:
-                    absent = np.concatenate([[0], np.cumsum(~known)])
-                    texts = tokens.dictionary.take(pa.array(codes[~known])).cast(pa.string())
-                    columns.append(_list_of(texts, absent[offsets - offsets[0]], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "input_ids", *(["_missed"] if gaps else [])])
+            yield from coded(batch, head)
+            # Before the next batch is read.
+            del batch
+            give_back()
 
     return run
 

@@ -61,10 +61,13 @@ def number_tokens(counts: DataFrame, size: int | None = None, specials: tuple[st
     if size is not None:
         ranked = ranked.filter(F.col("rank") < size)
     ids = (F.col("rank") + len(specials)).cast("int")
-    fixed = counts.sparkSession.createDataFrame(
-        [(token, i, 0) for i, token in enumerate(specials)], "token string, id int, freq bigint"
-    )
-    return fixed.unionByName(ranked.select("token", ids.alias("id"), "freq"))
+    numbered = ranked.select("token", ids.alias("id"), "freq")
+    if not specials:
+        return numbered
+    # As literals: a table made of Python rows would start workers of its own on every core.
+    entries = [F.struct(F.lit(t).alias("token"), F.lit(i).alias("id"), F.lit(0).cast("bigint").alias("freq")) for i, t in enumerate(specials)]
+    fixed = counts.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+    return fixed.unionByName(numbered)
 
 
 def build_vocab(

@@ -1,6 +1,7 @@
 import random
-from collections import Counter
+from collections import Counter, deque
 
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -205,3 +206,35 @@ def test_subword_equals_wordpiece_library(corpus, spark):
     df = materialize(spark.createDataFrame([(t, i, 0) for t, i in table.items()], "token string, id int, freq bigint"), "p")
     got = encode_subword_ids(corpus(words), df).orderBy("row_ord").collect()
     assert [r["input_ids"] for r in got] == want
+
+
+def test_a_worker_lets_go_of_a_batch_before_it_reads_the_next(spark):
+    words = materialize(spark.createDataFrame([(f"w{i}", i, 1) for i in range(50)], "token string, id int, freq bigint"), "vocab")
+    run = lookup._mapper(lookup.token_table(words), 1, ["doc_id"])
+    held = []
+
+    def batches():
+        for _ in range(3):
+            held.append(pa.total_allocated_bytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(100)), pa.array([[f"w{i % 60}" for i in range(5_000)]] * 100, pa.list_(pa.string()))], names=["doc_id", "_tokens"]
+            )
+
+    deque(run(batches()), maxlen=0)
+    assert held[2] - held[1] < 100_000 and held[1] - held[0] < 100_000
+
+
+@pytest.mark.parametrize("small", [1, 1 << 40])
+def test_tokens_are_found_the_same_with_either_table(corpus, spark, monkeypatch, small):
+    monkeypatch.setattr(lookup, "_SMALL_HEAD", small)
+    words = materialize(vocab.build_vocab(corpus(TEXTS), 12), "vocab")
+    ids = {r["token"]: r["id"] for r in words.collect()}
+    for r, text in zip(encode_ids(corpus(TEXTS), words).orderBy("row_ord").collect(), TEXTS):
+        assert r["input_ids"] == [vocab.CLS, *[ids.get(t, vocab.UNK) for t in tokens_of(text)], vocab.SEP]
+
+
+def test_special_tokens_start_no_python_workers(spark, capsys):
+    counts = materialize(spark.sql("select 'a' as token, 3L as freq"), "counts")
+    vocab.number_tokens(counts, 5).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    assert [r["token"] for r in vocab.number_tokens(counts, 5, ()).collect()] == ["a"]
