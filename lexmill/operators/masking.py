@@ -1,19 +1,18 @@
 """Random masking as a function of (seed, epoch, row, position): the same draw on every retry.
 
 One md5 digest serves four neighbouring positions, 32 bits each; a chosen position draws what happens
-to it from a digest of its own. Digests are made batch by batch in the Python workers, about ten times faster than by
-expressions over every position; everything else works on whole batches of tokens.
+to it from a digest of its own. Digests are made for whole batches in the Python workers, step by step over arrays (`functions/digests.py`),
+as everything else is.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.digests import md5_numbered, md5_of_hex
 from lexmill.functions.workers import reach_package
 from lexmill.operators.vocab import MASK, SPECIALS
 
@@ -28,16 +27,6 @@ def limit(share: float) -> int:
     return min(round(share * (1 << 32)), 1 << 32)
 
 
-def _draws(prefix: bytes, blocks: int) -> list[bytes]:
-    """The digests of ``prefix`` followed by the number of each block."""
-    start, out = hashlib.md5(prefix), []
-    for n in range(blocks):
-        digest = start.copy()
-        digest.update(b"%d" % n)
-        out.append(digest.digest())
-    return out
-
-
 def _masker(vocab_size: int, probability: float, seed: int, n_specials: int):
     least = limit(probability)
     to_mask, to_random = limit(MASK_SHARE), limit(MASK_SHARE + RANDOM_SHARE)
@@ -48,19 +37,17 @@ def _masker(vocab_size: int, probability: float, seed: int, n_specials: int):
         offsets -= offsets[0]
         sizes = np.diff(offsets)
         blocks = -(-sizes // LANES)
-        keys = zip(epoch.to_pylist(), row.to_pylist(), blocks.tolist())
-        digests = [d for e, r, n in keys for d in _draws(f"{seed}:{e}:{r}:".encode(), n)]
+        digests = md5_numbered([f"{seed}:{e}:{r}:".encode() for e, r in zip(epoch.to_pylist(), row.to_pylist())], blocks)
         # Place of each token among the four draws of every block.
         first = np.cumsum(blocks) - blocks
         inside = np.arange(len(ids)) - np.repeat(offsets[:-1], sizes)
         place = np.repeat(first, sizes) * LANES + inside
-        draws = np.frombuffer(b"".join(digests), ">u4")[place].astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+        draws = digests.view(">u4").ravel()[place].astype(np.int64)
         chosen = np.flatnonzero((ids >= n_specials) & (draws < least))
         labels = np.full(len(ids), IGNORE, np.int32)
         labels[chosen] = ids[chosen]
         block, lane = np.divmod(place[chosen], LANES)
-        own = b"".join([hashlib.md5(b"%s:%d" % (digests[b].hex().encode(), k)).digest() for b, k in zip(block.tolist(), lane.tolist())])
-        words = np.frombuffer(own, ">u4").reshape(-1, LANES).astype(np.int64)
+        words = md5_of_hex(digests[block], lane).view(">u4").astype(np.int64)
         fate, other = words[:, 0], words[:, 1] % vocab_size
         ids[chosen] = np.where(fate < to_mask, MASK, np.where(fate < to_random, other, ids[chosen]))
         borders = pa.array(offsets, pa.int32())

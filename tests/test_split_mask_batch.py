@@ -1,9 +1,11 @@
 import hashlib
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill.functions import digests
 from lexmill.functions.scratch import materialize
 from lexmill.operators import batching, masking, splitting
 
@@ -131,3 +133,17 @@ def test_sequential_batches_shards_and_budget(spark):
     assert all(r["shard"] == r["batch_id"] % 3 and r["update_id"] == r["batch_id"] // 2 for r in sharded.collect())
     row = batching.step_budget(ids(spark, 70), 32, 3, 2).first()
     assert tuple(row) == (70, 3, 9, 2)
+
+
+def test_digests_are_those_of_hashlib():
+    prefixes = [b"42:0:%d:" % i for i in (0, 5, 1 << 40)] + [b"x:", b"y" * 20]
+    counts = np.array([1, 33, 1234, 0, 12])
+    for last in (b"y" * 20, b"z" * 60):
+        prefixes[4] = last
+        want = [hashlib.md5(b"%s%d" % (p, n)).digest() for p, k in zip(prefixes, counts) for n in range(k)]
+        got = digests.md5_numbered(prefixes, counts)
+        assert got.tobytes() == b"".join(want)
+        lanes = np.arange(len(got)) % 4
+        again = [hashlib.md5(b"%s:%d" % (d.hex().encode(), k)).digest() for d, k in zip(want, lanes)]
+        assert digests.md5_of_hex(got, lanes).tobytes() == b"".join(again)
+    assert len(digests.md5_numbered([], np.zeros(0, np.int64))) == 0
