@@ -231,3 +231,15 @@ def test_phase_loss_and_validation_log(spark):
     got = metrics.validation_log(df, steps, every=2).orderBy("batch_id").collect()
     assert [(r["step"], r["batch_id"]) for r in got] == [(113, 0), (113, 2), (113, 4)]
     assert all(r["perplexity"] == pytest.approx(math.exp(3.0)) for r in got)
+
+
+@pytest.mark.parametrize("far", [9, (1 << 21) - 3, (1 << 21) - 2, (1 << 31) - 1])
+def test_contexts_of_any_ids_meet_their_loss_by_one_number_if_they_fit_it(spark, capsys, far):
+    places = [(0, ngram.EDGE, 5, far), (0, 5, far, 5), (1, far, 5, ngram.EDGE), (1, 5, far, 5), (2, 0, 0, 0)]
+    positions = materialize(spark.createDataFrame(places, "batch_id int, l int, c int, r int"), "positions")
+    asked = [(ngram.EDGE, 5, far, 1, 0.5), (5, far, 5, 2, 1.5), (far, 5, ngram.EDGE, 1, 2.5), (0, 0, 0, 1, 3.5)]
+    nll = spark.createDataFrame(asked, "l int, c int, r int, seen bigint, nll double")
+    met = ngram.attach_nll(positions, nll, ["l", "c", "r"])
+    assert sorted(tuple(r) for r in met.collect()) == sorted((*p, {a[:3]: a[4] for a in asked}[p[1:]]) for p in places)
+    met.explain()
+    assert ("_key" in capsys.readouterr().out) == (far < (1 << 21) - 1)
