@@ -15,8 +15,10 @@ of links.
 4. What the choice in step 2 can have missed: in buckets that still hold several components, documents outside
    the bucket's largest component are held against those of other components. Shingles that no other of these
    documents has bound the similarity a document can reach with any other; what the bound, the set sizes and the packed
-   bits leave is confirmed as before. In a dense group nearly all documents are in the largest component, and those outside
-   are there because they have many words of their own, so this is small.
+   bits leave is confirmed as before. Only small buckets of small components (``FEW``) take this way, so a row meets few others.
+   In the rest, a dense group, the documents do not meet in buckets but by what sets them apart from the centre of the largest
+   component (``departures``): two documents can only be linked if they share enough of their departures, however many shingles of the
+   centre both have.
 
 A pair at the threshold shares no band with probability (1 - 0.8^4)^32, about 5e-8.
 
@@ -49,6 +51,8 @@ FIRST_BANDS = 3
 BITS = 4
 WORDS64 = HASHES * BITS // 64
 SLACK = 0.19
+#: Documents of a bucket and of its largest component up to which a bucket's documents are held against each other directly.
+FEW = 16
 #: Ids, 8 bytes each, up to which a list of documents is broadcast.
 BROADCAST_IDS = 500_000
 _SLICE = 1 << 20
@@ -100,15 +104,16 @@ def pack_bits(low: np.ndarray) -> np.ndarray:
     return (low << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
+def digests(keys: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """A digest of each run of keys, none for empty ones."""
+    return [hashlib.blake2b(keys[e - n : e].tobytes(), digest_size=16).digest() if n else None for n, e in zip(sizes, np.cumsum(sizes))]
+
+
 def _sketcher(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
                 keys, sizes = shingle_sets(part.column("text"), shingle)
-                ends = np.cumsum(sizes)
-                digests = [
-                    hashlib.blake2b(keys[e - n : e].tobytes(), digest_size=16).digest() if n else None for n, e in zip(sizes, ends)
-                ]
                 low = minima(keys, sizes)
                 full = sizes > 0
                 bands = np.zeros((len(low), BANDS), np.uint64)
@@ -122,7 +127,7 @@ def _sketcher(shingle: int):
                     [
                         part.column("doc_id"),
                         pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.binary()),
+                        pa.array(digests(keys, sizes), pa.binary()),
                         as_lists(bands.view(np.int64).ravel(), np.where(full, BANDS, 0), pa.int64()),
                         as_lists(bits.ravel(), np.where(full, WORDS64, 0), pa.int64()),
                     ],
@@ -138,7 +143,8 @@ def _set_maker(shingle: int):
             for part in slices(batch, "text", _SLICE):
                 keys, sizes = shingle_sets(part.column("text"), shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), as_lists(keys.view(np.int64), sizes, pa.int64())], names=["node", "shingles"]
+                    [part.column("doc_id"), pa.array(digests(keys, sizes), pa.binary()), as_lists(keys.view(np.int64), sizes, pa.int64())],
+                    names=["node", "digest", "shingles"],
                 )
 
     return run
@@ -206,7 +212,9 @@ class _Links:
         both = pairs.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
             self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
         )
-        linked = both.select("a", "b", "sa", "sb").mapInArrow(_confirmer(self.percent), "a long, b long")
+        self.add(both.select("a", "b", "sa", "sb").mapInArrow(_confirmer(self.percent), "a long, b long"))
+
+    def add(self, linked: DataFrame) -> None:
         self.edges = materialize(linked if self.edges is None else linked.unionByName(self.edges), "links")
 
     def components(self) -> DataFrame:
@@ -221,7 +229,62 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     they are, and a longer one is joined by shuffle."""
     few = wanted.count() <= BROADCAST_IDS
     chosen = docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(_set_maker(shingle), "node long, shingles array<long>"), "sets")
+    made = chosen.mapInArrow(_set_maker(shingle), "node long, digest binary, shingles array<long>")
+    return materialize(made.select("node", F.xxhash64("digest").alias("mark"), "shingles"), "sets")
+
+
+def departures(group: DataFrame, sets: DataFrame) -> DataFrame:
+    """``group`` (``hub, node, mark, ...``) with ``hub_n``, the size of the hub's set, and ``away``: the shingles that are in one of the
+    two sets only. Of a hub with several sets one is taken for all its rows."""
+    hub_sets = (
+        sets.join(group.select(F.col("hub").alias("node")).distinct(), "node", "left_semi")
+        .groupBy(F.col("node").alias("hub")).agg(F.min_by("shingles", "mark").alias("of_hub"))
+    )
+    own = sets.join(group.select("node", "mark").distinct(), ["node", "mark"], "left_semi").dropDuplicates(["node", "mark"])
+    away = F.concat(F.array_except("shingles", "of_hub"), F.array_except("of_hub", "shingles"))
+    return (
+        group.join(own, ["node", "mark"]).join(hub_sets, "hub")
+        .select(*group.columns, F.size("of_hub").cast("long").alias("hub_n"), away.alias("away"))
+    )
+
+
+def pairs_by_departures(departed: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components, not both inside, that can be linked, of rows
+    ``hub, node, mark, comp, inside, n, away``; pairs that are both linked with the hub may be missing.
+
+    Sets of ``na`` and ``nb`` shingles are linked if they differ in at most (na + nb) * (100 - percent) / (100 + percent) shingles. They differ in
+    ``xa + xb - 2 * common`` ones, where xa, xb count their departures from the hub's set and ``common`` those they share, so a link needs
+    2 * common >= xa + xb - that limit. If this asks for none, xa and xb are so small that both are linked with the hub. Else
+    the shared departures, the rarest first, have a first common one, and from there on both documents must have as many
+    left as the link needs. A linked document has at most n * (100 - percent) / percent shingles that the other lacks or lacks
+    itself, so it needs x less that number of common departures with any other, and the last ones of its list cannot be the first common one.
+    """
+    single = departed.select("hub", "node", "mark", F.explode("away").alias("shingle"))
+    times = single.groupBy("hub", "shingle").agg(F.count("*").alias("times")).where("times > 1")
+    listed = (
+        single.join(times, ["hub", "shingle"])
+        .groupBy("hub", "node", "mark").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("shared"))
+    )
+    least_common = F.greatest(F.lit(1), F.col("x") - F.floor(F.col("n") * (100 - percent) / percent))
+    rows = materialize(
+        departed.select("hub", "node", "mark", "comp", "inside", "n", F.size("away").cast("long").alias("x")).join(listed, ["hub", "node", "mark"])
+        .withColumn("firsts", F.greatest(F.lit(0), F.size("shared") - least_common + 1).cast("int"))
+        .select("hub", "node", "comp", "inside", "n", "x", F.size("shared").alias("y"), F.posexplode(F.slice("shared", 1, F.col("firsts"))).alias("at", "entry"))
+        .select("hub", F.col("entry.shingle").alias("shingle"), "node", "comp", "inside", "n", "x", (F.col("y") - F.col("at")).cast("long").alias("left")),
+        "departures",
+    )
+    a, b = (
+        rows.select("hub", "shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "inside", "n", "x", "left")]) for side in ("a", "b")
+    )
+    both_n, both_x = F.col("n_a") + F.col("n_b"), F.col("x_a") + F.col("x_b")
+    return (
+        a.where("not inside_a").join(b, ["hub", "shingle"])
+        .where((F.col("comp_a") != F.col("comp_b")) & (F.col("inside_b") | (F.col("node_a") < F.col("node_b"))))
+        .where((F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent))
+        .where(F.least("left_a", "left_b") * (2 * (100 + percent)) >= both_x * (100 + percent) - both_n * (100 - percent))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+        .distinct()
+    )
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -240,7 +303,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     nodes = materialize(
         usable.join(classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"], "left_semi")
         .dropDuplicates(["digest"])
-        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "bits"),
+        .select(F.col("doc_id").alias("node"), F.xxhash64("digest").alias("mark"), F.col("n_shingles").alias("n"), "bands", "bits"),
         "nodes",
     )
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", "key")
@@ -269,29 +332,45 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     # Links that no meeting with a bucket's chosen document has shown.
     comps = links.components()
     rated = materialize(
-        crowded.join(comps, "node").join(nodes.select("node", "n", "bits"), "node").select("node", "band", "key", "comp", "n", "bits"), "rated"
-    )
+        crowded.join(comps, "node").join(nodes.select("node", "mark", "n", "bits"), "node")
+        .select("node", "mark", "band", "key", "crowd", "comp", "n", "bits"),
+        "rated",
+    )
     share = rated.groupBy("band", "key", "comp").agg(F.count("*").alias("n"))
-    mixed = share.groupBy("band", "key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    mixed = (
+        share.groupBy("band", "key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("comps"), F.sum("n").alias("size"))
+        .where("comps > 1")
+    )
+    centre = F.max(F.struct("crowd", F.xxhash64("node").alias("o"), "node")).alias("centre")
+    centres = rated.select("comp", "node", "crowd").distinct().groupBy(F.col("comp").alias("main")).agg(centre, F.count("*").alias("members"))
+    dense = (F.greatest("size", "members") > FEW).alias("dense")
+    mixed = mixed.join(centres, "main").select("band", "key", "main", F.col("centre.node").alias("hub"), dense)
     # Sizes that differ by less than a class step are in the same or in neighbouring classes.
     level = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
-    open_ = materialize(rated.join(mixed.select("band", "key", "main"), ["band", "key"]).withColumn("level", level), "open")
+    open_ = materialize(rated.join(mixed, ["band", "key"]).withColumn("level", level), "open")
     # A shingle that no other of these documents has is in no intersection, which bounds what a document can reach.
     alone = (
-        sets.join(open_.select("node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node")).where("times = 1")
-        .groupBy("node").agg(F.count("*").alias("alone"))
+        sets.join(open_.select("node", "mark").distinct(), ["node", "mark"], "left_semi").select("node", "mark", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node"), F.min("mark").alias("mark")).where("times = 1")
+        .groupBy("node", "mark").agg(F.count("*").alias("alone"))
     )
     bounded = materialize(
-        open_.join(alone, "node", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+        open_.join(alone, ["node", "mark"], "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
         .where(F.col("most") * 100 >= F.col("n") * percent),
         "bounded",
     )
-    outside = bounded.where("comp <> main").select(
+    group = bounded.where("dense").select("hub", "node", "mark", "comp", (F.col("comp") == F.col("main")).alias("inside"), "n").distinct()
+    group = materialize(group.join(group.where("not inside").select("hub").distinct(), "hub", "left_semi"), "dense")
+    departed = materialize(departures(group, sets), "departed")
+    limit = (F.col("n") + F.col("hub_n")) * (100 - percent)
+    with_hub = departed.where(~F.col("inside") & (F.size("away") * (100 + percent) <= limit))
+    links.add(with_hub.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+    few = bounded.where("not dense")
+    outside = few.where("comp <> main").select(
         "band", "key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("bits").alias("ba"),
         F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"),
     )
-    others = bounded.select(
+    others = few.select(
         "band", "key", "level", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("bits").alias("bb"),
         (F.col("comp") != F.col("main")).alias("out_b"),
     )
@@ -302,8 +381,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         .where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent)
         .where(estimate("ba", "bb") >= percent / 100 - SLACK)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
     )
+    rest = rest.unionByName(pairs_by_departures(departed, percent)).distinct()
     links.confirm(materialize(rest.join(links.seen, ["a", "b"], "left_anti"), "candidates"))
 
     # Rows of one id may belong to several classes: the id ties these together.

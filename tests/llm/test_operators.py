@@ -233,6 +233,65 @@ def test_near_duplicates(spark, k):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_dense_group_meets_few(spark, monkeypatch):
+    """Near copies just too far from a group do not meet all of it, and those that one member of it links are found."""
+    rng, base = random.Random(7), [f"b{i}" for i in range(200)]
+
+    def edited(places, word):
+        return " ".join(word(i) if i in places else w for i, w in enumerate(base))
+
+    texts = {0: " ".join(base)}
+    for i in range(1, 201):
+        texts[i] = edited(rng.sample(range(200), 2), lambda at, i=i: f"own{i}_{at}")
+    for i in range(300, 340):
+        texts[i] = edited(rng.sample(range(0, 196, 4), 6), lambda at: f"e{at}")
+    for i in range(3):
+        places = [4 * (7 * i + j) for j in range(6)]
+        texts[400 + i] = edited(places[:4], lambda at: f"f{at}")
+        texts[410 + i] = edited(places, lambda at: f"f{at}")
+    texts[420] = edited([160, 164, 168, 172, 176, 180, 184], lambda at: f"g{at}")
+    texts[421] = edited([160, 164, 168, 172, 176, 180, 188], lambda at: f"g{at}")
+    made, write = [], minhash.materialize
+
+    def recorded(df, tag):
+        out = write(df, tag)
+        if tag == "candidates":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", recorded)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(documents(spark, list(texts.items())), shingle=4).collect()}
+    assert got == classes(texts, 4)
+    assert got[411][1] == 0 and got[421][1] == 420
+    assert max(made) < 1000
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_pairs_by_departures(spark, percent):
+    rng = random.Random(percent)
+    rows, sets, hubs = [], {}, {}
+    for hub in (0, 1000):
+        hubs[hub] = set(range(hub * 100, hub * 100 + 100))
+        for node in range(hub + 1, hub + 71):
+            out = rng.sample(sorted(hubs[hub]), rng.randint(0, 30))
+            sets[node] = hubs[hub] - set(out) | {-1 - hub * 100 - i for i in rng.sample(range(60), rng.randint(0, 20))}
+            comp = hub if node % 3 == 0 else node
+            rows.append((hub, node, node, comp, comp == hub, len(sets[node]), sorted(sets[node] ^ hubs[hub])))
+
+    def linked(x, y):
+        return 100 * len(x & y) >= percent * len(x | y)
+
+    want = set()
+    for hub, a, _, ca, ina, _, _ in rows:
+        for other, b, _, cb, inb, _, _ in rows:
+            if hub == other and a < b and ca != cb and not (ina and inb) and linked(sets[a], sets[b]):
+                if not (linked(sets[a], hubs[hub]) and linked(sets[b], hubs[hub])):
+                    want.add((a, b))
+    df = spark.createDataFrame(rows, "hub long, node long, mark long, comp long, inside boolean, n long, away array<long>")
+    got = {(r["a"], r["b"]) for r in minhash.pairs_by_departures(df, percent).collect()}
+    assert (want or percent == 95) and want <= got
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minhash.near_duplicates(odd(spark), shingle=4).collect()
     assert len(got) == 10
